@@ -15,15 +15,19 @@ SALTS = 1 << 16
 
 
 def semi_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows of `df` whose key occurs in `keys`."""
+    """Rows of `df` whose key occurs in `keys`.
+
+    The keys are made distinct first: that happens before the shuffle, uses the partitioning the join
+    needs anyway, and leaves skew only on the side Spark's adaptive join can split.
+    """
     on = [on] if isinstance(on, str) else list(on)
-    return df.join(keys.select(*on), on, "left_semi")
+    return df.join(keys.select(*on).distinct(), on, "left_semi")
 
 
 def anti_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of `df` whose key does not occur in `keys`; nulls among the keys change nothing."""
     on = [on] if isinstance(on, str) else list(on)
-    return df.join(keys.select(*on), on, "left_anti")
+    return df.join(keys.select(*on).distinct(), on, "left_anti")
 
 
 def merge_on_key(tables: Sequence[DataFrame], key: str) -> DataFrame:
@@ -34,6 +38,13 @@ def merge_on_key(tables: Sequence[DataFrame], key: str) -> DataFrame:
     return reduce(lambda left, right: left.join(right, key, "inner"), tables)
 
 
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys holding more than 1/`HOT_KEYS` of the rows, as `key, hot`: fewer than `HOT_KEYS` rows."""
+    counts = df.groupBy(key).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.filter(F.col("n") * HOT_KEYS > total).select(key, F.lit(True).alias("hot"))
+
+
 def spread_lookup(
     big: DataFrame, lookup: DataFrame, key: str, is_hot: Column, spread_by: str, how: str = "inner"
 ) -> DataFrame:
