@@ -61,6 +61,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.scan(spark, f"{sf_dir}/documents.parquet", ["doc_id", "text"], spread_by="doc_id")
+
+
 # --------------------------------------------------------------------------------------------------
 # Dumps derived from the tables
 
@@ -438,7 +442,7 @@ _DOC_POST = _post_sql("doc_id", "text", "documents")
 
 @query(_DOC_POST)
 def token_counts(spark, sf_dir):
-    return counts.token_counts(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return counts.token_counts(_documents(spark, sf_dir), "doc_id", "text")
 
 
 @query(
@@ -446,7 +450,7 @@ def token_counts(spark, sf_dir):
 FROM ({_DOC_POST}) GROUP BY term"""
 )
 def vocabulary(spark, sf_dir):
-    return counts.vocabulary(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return counts.vocabulary(_documents(spark, sf_dir), "doc_id", "text")
 
 
 @query(
@@ -454,7 +458,7 @@ def vocabulary(spark, sf_dir):
   (SELECT count(DISTINCT term) FROM ({_DOC_POST})) AS n_terms"""
 )
 def matrix_shape(spark, sf_dir):
-    return counts.matrix_shape(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return counts.matrix_shape(_documents(spark, sf_dir), "doc_id", "text")
 
 
 @query(
@@ -462,7 +466,7 @@ def matrix_shape(spark, sf_dir):
 FROM documents d LEFT JOIN ({_DOC_POST}) p ON p.doc_id = d.doc_id GROUP BY d.doc_id"""
 )
 def doc_norms(spark, sf_dir):
-    return counts.doc_norms(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return counts.doc_norms(_documents(spark, sf_dir), "doc_id", "text")
 
 
 @query(
@@ -534,7 +538,7 @@ def reco_topk(spark, sf_dir):
 
 @query(f"{_topk_sql('corpus AS (SELECT doc_id AS id, text FROM documents)')} SELECT * FROM reco")
 def reco_topk_text(spark, sf_dir):
-    return topk.cosine_topk(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return topk.cosine_topk(_documents(spark, sf_dir), "doc_id", "text")
 
 
 @query(f"{_topk_sql(_PART_CORPUS)} {_wide_sql('target_id')}")
