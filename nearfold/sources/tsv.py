@@ -76,8 +76,6 @@ def write_csv(df: DataFrame, path: str, compression: str = "gzip") -> None:
         .option("header", True)
         .option("compression", compression)
         .option("escape", '"')
-        .option("quoteAll", False)
-        .option("emptyValue", '""')
         .csv(path)
     )
 
@@ -89,6 +87,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         .option("header", True)
         .option("escape", '"')
         .option("multiLine", True)
+        # An empty cell is null, a quoted empty cell is empty text.
+        .option("nullValue", "\u0000")
         .csv(path)
     )
 
