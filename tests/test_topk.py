@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from conftest import plan_of
-from nearfold.operators import topk
+from nearfold.operators import products, topk
 from nearfold.operators.shapes import as_arrays, as_long, as_wide, pack_long, wide_to_arrays
 from nearfold.operators.topk import cosine_topk, neighbour_lists
 
@@ -66,6 +66,7 @@ def test_without_fill_and_in_one_block(spark):
 
 def test_many_meetings_per_block(spark, monkeypatch):
     monkeypatch.setattr(topk, "MAX_MEETING_ROWS", 2)
+    monkeypatch.setattr(products, "SLICE_ROWS", 3)
     monkeypatch.setattr(topk, "MAX_SLOTS", 3)
     texts = corpus(11)
     assert run(spark, texts, 4, block_rows=6) == brute(texts, 4)
