@@ -124,8 +124,13 @@ def candidate_keys(
 
 def clean_crew(raw: DataFrame, keys: DataFrame) -> DataFrame:
     """Crew of the given titles, with the stored column names."""
+    return semi_keys(renamed_crew(raw), keys, "tconst")
+
+
+def renamed_crew(raw: DataFrame) -> DataFrame:
+    """Crew under its stored column names."""
     renamed = raw.withColumnsRenamed({"directors": "directors_id", "writers": "writers_id"})
-    return semi_keys(renamed, keys, "tconst").select(*CREW.names)
+    return renamed.select(*CREW.names)
 
 
 def clean_ratings(raw: DataFrame, keys: DataFrame) -> DataFrame:
@@ -159,16 +164,19 @@ def merge_content(titles: DataFrame, crew: DataFrame, ratings: DataFrame) -> Dat
 def initial_load(
     titles: DataFrame, crew: DataFrame, ratings: DataFrame, names: DataFrame, **limits
 ) -> dict[str, DataFrame]:
-    """All stored tables of a first load, as one lazy plan per table."""
+    """All stored tables of a first load, as one lazy plan per table.
+
+    The merge takes crew and ratings unfiltered: its inner joins select the same titles in one
+    shuffle per table.
+    """
     stored = clean_titles(titles, **limits)
     stored_crew = clean_crew(crew, stored)
-    stored_ratings = clean_ratings(ratings, stored)
     persons = person_keys(stored_crew)
     return {
         "titles": stored,
         "crew": stored_crew,
-        "ratings": stored_ratings,
+        "ratings": clean_ratings(ratings, stored),
         "person_keys": persons,
         "names": clean_names(names, persons),
-        "content": merge_content(stored, stored_crew, stored_ratings),
+        "content": merge_content(stored, renamed_crew(crew), ratings.select(*RATINGS.names)),
     }

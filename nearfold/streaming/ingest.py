@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from nearfold.fixed import CANDIDATE_BATCH, NULL_TOKENS
 from nearfold.functions.nulls import normalize_nulls
-from nearfold.operators.joins import anti_keys
+from nearfold.operators.joins import anti_keys, semi_keys
 from nearfold.plans.catalogue import (
     candidate_keys,
     clean_crew,
@@ -135,16 +135,19 @@ def upsert_stream(
     """Store every arriving row whose key is not stored yet, then stop when no files are left.
 
     With `refresh`, changed rows are stored as well and `current_rows` shows the newest one per key.
-    A batch reads only the key column of what is stored.
+    A batch reads only the key column of what is stored, and the stored keys are cut down to those of
+    the batch first: the batch is written, so its size is known, and while it is small it is sent to
+    the stored keys instead of shuffling them.
     """
     schema = rows.schema
 
     def take(batch_rows: DataFrame, batch: int) -> None:
         spark = batch_rows.sparkSession
-        new = batch_rows.dropDuplicates([key])
+        arrived = freeze(batch_rows.dropDuplicates([key]), "arrived")
         if not refresh:
-            new = anti_keys(new, read_batches(spark, table, schema, batch).select(key), key)
-        append_batch(new, table, batch)
+            known = read_batches(spark, table, schema, batch).select(key)
+            arrived = anti_keys(arrived, semi_keys(known, arrived, key), key)
+        append_batch(arrived, table, batch)
 
     return _run(rows, take, checkpoint)
 
