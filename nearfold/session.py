@@ -44,8 +44,36 @@ def freeze(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage, so a lost executor recomputes nothing upstream, and fixes values that a
     recomputation could give differently (generated ids, range bounds). Later readers prune columns.
+    The table stays, because the caller's lazy result reads it.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/nearfold/{name}-{uuid.uuid4().hex}"
+    return _written(df, _folder(df.sparkSession, name))
+
+
+class Steps:
+    """Frozen tables of one run that nothing reads once its result is written; removed at the end.
+
+    Use as `with Steps(spark) as steps: ...` and write the result before the block ends.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.path = _folder(spark, "steps")
+
+    def freeze(self, df: DataFrame, name: str) -> DataFrame:
+        return _written(df, f"{self.path}/{name}")
+
+    def __enter__(self) -> Steps:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/nearfold/{name}-{uuid.uuid4().hex}"
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

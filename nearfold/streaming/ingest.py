@@ -27,7 +27,7 @@ from nearfold.plans.catalogue import (
     person_keys,
 )
 from nearfold.schemas import CONTENT, CREW, NAMES, RATINGS, TITLES
-from nearfold.session import freeze
+from nearfold.session import Steps
 from nearfold.sources.tables import (
     BATCH,
     append_batch,
@@ -75,19 +75,20 @@ def run_batch(
     """
     if batch is None:
         batch = next_batch(spark, store)
-    attempted = stored(spark, store, "attempted", batch)
-    keys = freeze(candidate_keys(titles, attempted, limit=limit), "keys")
-    new = {
-        "titles": freeze(clean_titles(titles, keys).dropDuplicates(["tconst"]), "titles"),
-        "crew": freeze(clean_crew(crew, keys).dropDuplicates(["tconst"]), "crew"),
-        "ratings": freeze(clean_ratings(ratings, keys).dropDuplicates(["tconst"]), "ratings"),
-    }
-    persons = person_keys(new["crew"], stored(spark, store, "names", batch))
-    new["names"] = clean_names(names, persons).dropDuplicates(["nconst"])
-    new["content"] = merge_content(new["titles"], new["crew"], new["ratings"])
-    new["attempted"] = keys
-    for table, rows in new.items():
-        append_batch(rows, f"{store}/{table}", batch)
+    with Steps(spark) as steps:
+        attempted = stored(spark, store, "attempted", batch)
+        keys = steps.freeze(candidate_keys(titles, attempted, limit=limit), "keys")
+        new = {
+            "titles": steps.freeze(clean_titles(titles, keys).dropDuplicates(["tconst"]), "titles"),
+            "crew": steps.freeze(clean_crew(crew, keys).dropDuplicates(["tconst"]), "crew"),
+            "ratings": steps.freeze(clean_ratings(ratings, keys).dropDuplicates(["tconst"]), "ratings"),
+        }
+        persons = person_keys(new["crew"], stored(spark, store, "names", batch))
+        new["names"] = clean_names(names, persons).dropDuplicates(["nconst"])
+        new["content"] = merge_content(new["titles"], new["crew"], new["ratings"])
+        new["attempted"] = keys
+        for table, rows in new.items():
+            append_batch(rows, f"{store}/{table}", batch)
 
 
 def drops(
@@ -143,11 +144,12 @@ def upsert_stream(
 
     def take(batch_rows: DataFrame, batch: int) -> None:
         spark = batch_rows.sparkSession
-        arrived = freeze(batch_rows.dropDuplicates([key]), "arrived")
-        if not refresh:
-            known = read_batches(spark, table, schema, batch).select(key)
-            arrived = anti_keys(arrived, semi_keys(known, arrived, key), key)
-        append_batch(arrived, table, batch)
+        with Steps(spark) as steps:
+            arrived = steps.freeze(batch_rows.dropDuplicates([key]), "arrived")
+            if not refresh:
+                known = read_batches(spark, table, schema, batch).select(key)
+                arrived = anti_keys(arrived, semi_keys(known, arrived, key), key)
+            append_batch(arrived, table, batch)
 
     return _run(rows, take, checkpoint)
 

@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from conftest import plan_of
 from nearfold.operators import products, topk
 from nearfold.operators.shapes import as_arrays, as_long, as_wide, pack_long, wide_to_arrays
 from nearfold.operators.topk import cosine_topk, neighbour_lists
+from nearfold.session import shared_dir
 
 
 def brute(texts: dict, k: int, pad: bool = True) -> dict:
@@ -140,12 +142,15 @@ def test_plans(spark, monkeypatch):
     """No pair product, no row-wise Python, and the rank limit runs before the shuffle."""
     plans = {}
 
-    def watched(df, name):
-        plans[name] = plan_of(df)
-        return freeze(df, name)
+    def watched(step):
+        def freeze(*args):
+            plans[args[-1]] = plan_of(args[-2])
+            return step(*args)
 
-    freeze = topk.freeze
-    monkeypatch.setattr(topk, "freeze", watched)
+        return freeze
+
+    monkeypatch.setattr(topk, "freeze", watched(topk.freeze))
+    monkeypatch.setattr(topk.Steps, "freeze", watched(topk.Steps.freeze))
     run(spark, corpus(5), 4, block_rows=6)
     assert {"rows", "groups", "vocabulary", "vectors", "own", "peaks", "routes", "lists"} == set(plans)
     for plan in plans.values():
@@ -154,3 +159,10 @@ def test_plans(spark, monkeypatch):
     limit = plans["groups"].index("row_number(), 5, Partial")
     assert limit > plans["groups"].index("Exchange hashpartitioning(digest")
     assert "row_number(), 5, Partial" in plans["lists"]
+
+
+def test_steps_are_removed(spark):
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "nearfold"
+    before = set(folder.glob("steps-*")) if folder.exists() else set()
+    run(spark, corpus(9, 30), 3, block_rows=6)
+    assert set(folder.glob("steps-*")) == before
