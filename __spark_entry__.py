@@ -676,16 +676,18 @@ def stream_ingest(spark, sf_dir):
 
 @query(f"WITH {_titles_sql(_BATCHES)} SELECT * FROM content")
 def title_stream(spark, sf_dir):
-    """Dated drops of titles, one batch each, through the whole catalogue chain."""
+    """Dated drops of titles, taken up by one stream in two runs, through the catalogue chain."""
     landing, store = _run_folder(spark, "landing"), _run_folder(spark, "store")
+    progress = _run_folder(spark, "progress")
     titles = _raw_titles(spark, sf_dir)
-    half = F.pmod(F.xxhash64("tconst"), F.lit(2)) == 0
-    _write_dump(titles.filter(half).coalesce(1), f"{landing}/2024-01-01")
-    _write_dump(titles.coalesce(1), f"{landing}/2024-01-02")
     crew, ratings = freeze(_raw_crew(spark, sf_dir), "crew"), freeze(_raw_ratings(spark, sf_dir), "ratings")
     names = _raw_names(spark, sf_dir)
-    arriving = ingest.drops(spark, landing, schemas.RAW_TITLES)
-    ingest.title_stream(arriving, store, _run_folder(spark, "progress"), lambda: (crew, ratings, names))
+    # The first drop brings some of the titles, the second one all of them.
+    days = {"2024-01-01": titles.filter(F.col("genres").startswith("economy")), "2024-01-02": titles}
+    for day, delivered in days.items():
+        _write_dump(delivered, f"{landing}/{day}")
+        arriving = ingest.drops(spark, landing, schemas.RAW_TITLES, files_per_trigger=1000)
+        ingest.title_stream(arriving, store, progress, lambda: (crew, ratings, names))
     return ingest.stored(spark, store, "content")
 
 
