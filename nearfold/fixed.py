@@ -37,3 +37,7 @@ INITIAL_YEAR_BELOW = 1950
 
 # Address in front of a title id in a displayed link.
 LINK_BASE = "https://www.imdb.com/title/"
+
+# Text around a displayed recommendation.
+SCORE_CAPTION = "Matching score : "
+TITLE_CAPTION = " Movie : "

@@ -118,6 +118,10 @@ def test_nothing_shared_at_all(spark):
     assert run(spark, texts, 2, pad_zero=False) == {1: [], 2: [], 3: []}
 
 
+def test_empty_corpus(spark):
+    assert run(spark, {}, 3) == {}
+
+
 def test_small_corpus_gives_short_lists(spark):
     texts = {i: f"word w{i}" for i in range(5)}
     df = spark.createDataFrame(list(texts.items()), "id bigint, text string")
