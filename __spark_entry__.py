@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import os
 import sys
-import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,7 +22,7 @@ from nearfold.functions.numbers import bin_right_closed, cast_trunc  # noqa: E40
 from nearfold.functions.text import combined_text  # noqa: E402
 from nearfold.operators import counts, filters, joins, keys, reads, shapes, topk  # noqa: E402
 from nearfold.plans import catalogue, recommend  # noqa: E402
-from nearfold.session import freeze, shared_dir  # noqa: E402
+from nearfold.session import freeze, new_folder  # noqa: E402
 from nearfold.sources import tables, tsv  # noqa: E402
 from nearfold.streaming import ingest  # noqa: E402
 
@@ -617,10 +616,6 @@ def to_json_records(spark, sf_dir):
 # Files and streams
 
 
-def _run_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/nearfold/{name}-{uuid.uuid4().hex}"
-
-
 def _write_dump(df: DataFrame, path: str) -> None:
     (
         df.write.option("sep", "\t")
@@ -640,7 +635,7 @@ def _write_dump(df: DataFrame, path: str) -> None:
 FROM part"""
 )
 def tsv_scan(spark, sf_dir):
-    path = _run_folder(spark, "dump")
+    path = new_folder(spark, "dump")
     _write_dump(_raw_titles(spark, sf_dir), path)
     columns = ["tconst", "titleType", "primaryTitle", "startYear"]
     return tsv.read_tsv(spark, path, schemas.RAW_TITLES, columns)
@@ -648,15 +643,15 @@ def tsv_scan(spark, sf_dir):
 
 @query(f"WITH {_titles_sql(_FIRST_LOAD)} SELECT * FROM ratings")
 def normalise_file(spark, sf_dir):
-    path = _run_folder(spark, "dump")
+    path = new_folder(spark, "dump")
     _write_dump(_raw_ratings(spark, sf_dir), path)
-    return tsv.normalise_file(spark, path, schemas.RAW_RATINGS, _run_folder(spark, "ratings"))
+    return tsv.normalise_file(spark, path, schemas.RAW_RATINGS, new_folder(spark, "ratings"))
 
 
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def csv_export(spark, sf_dir):
     suppliers = _table(spark, sf_dir, "supplier")
-    path = _run_folder(spark, "export")
+    path = new_folder(spark, "export")
     tsv.write_csv(suppliers, path)
     return tsv.read_csv(spark, path, suppliers.schema)
 
@@ -665,7 +660,7 @@ def csv_export(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     """Events arrive as a file stream and are stored once per key; a second run adds nothing."""
     schema = _table(spark, sf_dir, "events").schema
-    store, checkpoint = _run_folder(spark, "events"), _run_folder(spark, "progress")
+    store, checkpoint = new_folder(spark, "events"), new_folder(spark, "progress")
     for _ in range(2):
         arriving = (
             spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
@@ -677,8 +672,8 @@ def stream_ingest(spark, sf_dir):
 @query(f"WITH {_titles_sql(_BATCHES)} SELECT * FROM content")
 def title_stream(spark, sf_dir):
     """Dated drops of titles, taken up by one stream in two runs, through the catalogue chain."""
-    landing, store = _run_folder(spark, "landing"), _run_folder(spark, "store")
-    progress = _run_folder(spark, "progress")
+    landing, store = new_folder(spark, "landing"), new_folder(spark, "store")
+    progress = new_folder(spark, "progress")
     titles = _raw_titles(spark, sf_dir)
     crew, ratings = freeze(_raw_crew(spark, sf_dir), "crew"), freeze(_raw_ratings(spark, sf_dir), "ratings")
     names = _raw_names(spark, sf_dir)
@@ -694,9 +689,26 @@ def title_stream(spark, sf_dir):
 @query(f"WITH {_titles_sql(_BATCHES)} SELECT * FROM content")
 def title_batch(spark, sf_dir):
     """All unseen titles as one scheduled batch, then the same dump again, which adds nothing."""
-    store = _run_folder(spark, "store")
+    store = new_folder(spark, "store")
     raw = normalize_nulls(_raw_titles(spark, sf_dir))
     sides = (_raw_crew(spark, sf_dir), _raw_ratings(spark, sf_dir), _raw_names(spark, sf_dir))
     for _ in range(2):
         ingest.run_batch(spark, store, raw, *sides, limit=None)
     return ingest.stored(spark, store, "content")
+
+
+# --------------------------------------------------------------------------------------------------
+# Training-data operators, where their package is there
+
+try:
+    from corpus_pipeline import ORACLE_SQL, run
+    from nearfold.llm.queries import ORACLE as LLM_ORACLE
+    from nearfold.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "nearfold.llm", "nearfold.llm.queries"):
+        raise
+else:
+    QUERIES.update(LLM_QUERIES, pipeline=run)
+    ORACLE.update(LLM_ORACLE)
+    if ORACLE_SQL is not None:
+        ORACLE["pipeline"] = ORACLE_SQL

@@ -46,7 +46,7 @@ def freeze(df: DataFrame, name: str) -> DataFrame:
     recomputation could give differently (generated ids, range bounds). Later readers prune columns.
     The table stays, because the caller's lazy result reads it.
     """
-    return _written(df, _folder(df.sparkSession, name))
+    return _written(df, new_folder(df.sparkSession, name))
 
 
 class Steps:
@@ -57,7 +57,7 @@ class Steps:
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
-        self.path = _folder(spark, "steps")
+        self.path = new_folder(spark, "steps")
 
     def freeze(self, df: DataFrame, name: str) -> DataFrame:
         return _written(df, f"{self.path}/{name}")
@@ -70,7 +70,8 @@ class Steps:
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def _folder(spark: SparkSession, name: str) -> str:
+def new_folder(spark: SparkSession, name: str) -> str:
+    """Path of a folder that does not exist yet, below the shared one."""
     return f"{shared_dir(spark).rstrip('/')}/nearfold/{name}-{uuid.uuid4().hex}"
 
 
