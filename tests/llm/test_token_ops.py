@@ -114,7 +114,7 @@ def test_packing_odd_rows_and_nothing(spark):
 
 def test_local_search_empties_bins():
     rng = np.random.default_rng(1)
-    lengths = rng.integers(1, 60, 800)
+    lengths = rng.integers(1, 51, 800)
     worst = np.arange(800) // 2
     found = packing.local_search(lengths, worst, 100)
     fill = np.bincount(found, weights=lengths)
