@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearfold.llm import packing, token_files
+from nearfold.llm import jaccard, packing, token_files
 from nearfold.llm.batches import table
 from nearfold.session import new_folder
 
@@ -16,18 +16,50 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            ORACLE[fn.__name__] = sql
+        return fn
 
+    return register
 
-@query
+
+@query()
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-@query
+_SHINGLES_SQL = r"""RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 4, 1))) AS i
+        FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b)"""
+
+
+@query(
+    f"""WITH {_SHINGLES_SQL}
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, min(r.b)) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach r ON r.a = d.doc_id
+GROUP BY d.doc_id, n.n"""
+)
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents"))
+
+
+@query()
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path)
