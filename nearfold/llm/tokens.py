@@ -8,6 +8,7 @@ outside ASCII, quotes at the end of a word) is encoded as a whole.
 
 from __future__ import annotations
 
+import os
 from itertools import chain
 
 import numpy as np
@@ -23,7 +24,9 @@ _KIND = np.full(256, 2, dtype=np.int8)
 _KIND[[9, 10, 11, 12, 13, 32]] = 0
 _KIND[97:123] = _KIND[128:] = _KIND[39] = 1
 _HEAD = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=_U)
-_SLOTS = 1 << 21
+_SLOTS = 1 << 20
+#: The library keeps about a kilobyte for each text of a batch until its ids are taken.
+_AT_ONCE = 512
 _encoders: dict[str, RunEncoder] = {}
 
 
@@ -81,14 +84,16 @@ class RunEncoder:
                 ids[k] = [t.id for t in model.tokenize(run.decode())]
             else:
                 rest.append(k)
-        texts = [runs[k].decode("utf-8", "replace") for k in rest]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         first, last = self.known, self.known + len(runs)
         self.unsafe = _room(self.unsafe, last)
-        for k, text, e in zip(rest, texts, found, strict=True):
-            ids[k] = e.ids
-            odd = not text.isascii() and not text.replace("'", "").isalpha()
-            self.unsafe[first + k] = odd or text[0] == "'" or text[-1] == "'"
+        for at in range(0, len(rest), _AT_ONCE):
+            some = rest[at : at + _AT_ONCE]
+            texts = [runs[k].decode("utf-8", "replace") for k in some]
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            for k, text, e in zip(some, texts, found, strict=True):
+                ids[k] = e.ids
+                odd = not text.isascii() and not text.replace("'", "").isalpha()
+                self.unsafe[first + k] = odd or text[0] == "'" or text[-1] == "'"
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(sizes.sum()))
         self.ids = _room(self.ids, self.used + len(flat))
@@ -155,6 +160,7 @@ def _room(array: np.ndarray, n: int) -> np.ndarray:
 def encoder(path: str) -> RunEncoder:
     """The encoder of this Python worker for the file at `path`."""
     if path not in _encoders:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already fill the cores
         _encoders[path] = RunEncoder(path)
     return _encoders[path]
 

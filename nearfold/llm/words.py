@@ -26,7 +26,8 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-BYTE_HASH = mix(np.arange(256, dtype=_U) + _U(77))
+RAW_BYTE_HASH = mix(np.arange(256, dtype=_U) + _U(77))
+BYTE_HASH = RAW_BYTE_HASH.copy()
 BYTE_HASH[65:91] = BYTE_HASH[97:123]
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[32, 9, 10, 11, 12, 13]] = True
@@ -38,7 +39,7 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     """The first `n` powers of the base of the rolling hash, or of its inverse."""
     base = _INVERSE if inverse else _BASE
     if base not in _tables or len(_tables[base]) < n:
-        _tables[base] = _powers(base, max(n, 3 << 20))
+        _tables[base] = _powers(base, max(n, 5 << 18))
     return _tables[base][:n]
 
 
