@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearfold.llm import jaccard, packing, token_files
+from nearfold.llm import jaccard, packing, suffix, token_files
 from nearfold.llm.batches import table
 from nearfold.session import new_folder
 
@@ -65,3 +65,16 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_files.write_token_files(table(spark, sf_dir, "documents"), path)
     rows = token_files.checksums(token_files.read_token_files(spark, path))
     return token_files.positions(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query()
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
