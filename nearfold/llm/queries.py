@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearfold.llm import jaccard, packing, suffix, token_files
+from nearfold.llm import decontaminate, jaccard, packing, suffix, token_files
 from nearfold.llm.batches import table
 from nearfold.session import new_folder
 
@@ -59,6 +59,11 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "token-files")

@@ -31,6 +31,8 @@ BYTE_HASH = RAW_BYTE_HASH.copy()
 BYTE_HASH[65:91] = BYTE_HASH[97:123]
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[32, 9, 10, 11, 12, 13]] = True
+#: Also a gap for `located_words`: every ASCII byte but letters and digits.
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _tables: dict[int, np.ndarray] = {}
 
@@ -45,19 +47,26 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
 
 def word_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of all texts in order, and the number of words of each text."""
+    hashes, _, _, counts = located_words(raws)
+    return hashes, counts
+
+
+def located_words(
+    raws: list[bytes], gap: np.ndarray = _GAP
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end of every word of all texts joined by line feeds, and words of each text."""
     buf = np.frombuffer(b"\n".join(raws) + b"\n", dtype=np.uint8)
-    inside = ~_GAP[buf]
-    edge = np.diff(inside.astype(np.int8), prepend=np.int8(0))
+    edge = np.diff((~gap[buf]).astype(np.int8), prepend=np.int8(0))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
-        return np.zeros(0, dtype=_U), np.zeros(len(raws), dtype=np.int64)
+        return np.zeros(0, dtype=_U), starts, ends, np.zeros(len(raws), dtype=np.int64)
     total = np.zeros(len(buf) + 1, dtype=_U)
     np.cumsum(BYTE_HASH[buf] * powers(len(buf)), out=total[1:])
     hashes = (total[ends] - total[starts]) * powers(len(buf), inverse=True)[starts]
     bounds = np.cumsum([len(x) + 1 for x in raws])
     upto = np.searchsorted(starts, bounds)
-    # The length goes in too, so that a word and its repetition differ for certain in more than a sum.
-    return mix(hashes + (ends - starts).astype(_U)), np.diff(upto, prepend=0)
+    # The length goes in too, so that a word and its repetition differ in more than a sum.
+    return mix(hashes + (ends - starts).astype(_U)), starts, ends, np.diff(upto, prepend=0)
 
 
 def shingle_hashes(words: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
