@@ -8,7 +8,9 @@ not ended. Per walk several samples of a few steps are drawn; where an item's an
 agree on a sample, the pair is a candidate, and an exact alignment decides.
 
 Before that a lossless count rules out most windows: n words with at most k edits share at least
-`n - 1 - 2k` word pairs, so the pairs of a window that any item holds must be as many.
+`n - 1 - 2k` word pairs, so the pairs of a window that any item holds must be as many. Walks start
+only at such pairs: the first one shared stands at most 2k words into the item, and the walks of an
+item are indexed from each of these words. Candidates must share as many pairs with their own item.
 
 The recall of the samples is set by `WALKS`, `SAMPLES` and `DEPTH`. With a share `q` of steps in
 agreement it is `1 - (1 - q ** DEPTH) ** (WALKS * SAMPLES)`: 0.98 for q = 0.4, which texts with a
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,8 @@ MIN_WORDS = 8
 BLOCK_BYTES = 4 << 20
 _BITS = 22
 _WINDOWS = 20_000
+_WORDS = 2_000_000
+_TAGS = 16
 
 
 def folded(raws: list[bytes]) -> list[bytes]:
@@ -89,13 +94,13 @@ class Items:
         split = [words[z - n : z] for z, n in zip(ends.tolist(), counts.tolist(), strict=True)]
         self.max_error = max_error
         self.whole = defaultdict(list)  # too short to tell a leak from chance: the whole text must agree
-        self.ids, self.words = [], []
-        for r, w in zip(rows, split, strict=True):
-            if len(w) >= MIN_WORDS:
-                self.ids.append(r.item_id)
-                self.words.append(w)
-            elif len(w):
-                self.whole[w.tobytes()].append(r.item_id)
+        rows = [(r.item_id, w) for r, w in zip(rows, split, strict=True) if len(w)]
+        rows.sort(key=lambda r: len(r[1]) < MIN_WORDS)  # short ones last
+        self.ids, self.lengths = [r[0] for r in rows], [len(r[1]) for r in rows]
+        self.words = [w for _, w in rows if len(w) >= MIN_WORDS]
+        for k, (_, w) in enumerate(rows):
+            if len(w) < MIN_WORDS:
+                self.whole[w.tobytes()].append(k)
         self.sizes = np.array([len(w) for w in self.words], dtype=np.int64)
         self.edits = np.floor(self.sizes * max_error).astype(np.int64)
         self.known = np.zeros(1 << _BITS, dtype=bool)
@@ -108,6 +113,7 @@ class Items:
             near = self.sizes[order] <= max(self.sizes[order[0]] * 1.25, self.sizes[order[0]] + 2)
             self.bands.append(order[near])
             order = order[~near]
+        self.pairs = [frozenset(_pairs(w).tolist()) for w in self.words]
         self.keys = [self._keys(band) for band in self.bands]
 
     def steps(self, band: np.ndarray) -> int:
@@ -118,10 +124,10 @@ class Items:
         rng = np.random.default_rng([walk, int(self.sizes[band].min())])
         return np.sort(rng.integers(0, self.steps(band), (SAMPLES, DEPTH)), axis=1)
 
-    def _keys(self, band: np.ndarray) -> list[list[dict[int, list[int]]]]:
-        """Samples of the items' walks, also of those that skip words the text may lack in front."""
+    def _keys(self, band: np.ndarray) -> list[list[tuple[np.ndarray, dict[int, list[int]]]]]:
+        """Samples of the items' walks, also of those that skip words in front."""
         flat = np.concatenate([self.words[k] for k in band])
-        skips = self.edits[band] + 1
+        skips = 2 * self.edits[band] + 1
         stops = np.repeat(np.cumsum(self.sizes[band]), skips)
         skipped = ragged(np.zeros(len(band), dtype=np.int64), skips)
         starts = stops - np.repeat(self.sizes[band], skips) + skipped
@@ -134,7 +140,9 @@ class Items:
                 index: dict[int, list[int]] = defaultdict(list)
                 for k, key in zip(owners, _sampled(written, steps).tolist(), strict=True):
                     index[key].append(k)
-                per_sample.append({key: sorted(set(ks)) for key, ks in index.items()})
+                tags = np.zeros(1 << _TAGS, dtype=bool)
+                tags[np.array(list(index), dtype=_U) >> _U(64 - _TAGS)] = True
+                per_sample.append((tags, {key: sorted(set(ks)) for key, ks in index.items()}))
             found.append(per_sample)
         return found
 
@@ -158,7 +166,7 @@ def _windows(items: Items, band: np.ndarray, words: np.ndarray, counts: np.ndarr
     hits[ends[:-1][(ends[:-1] > 0) & (ends[:-1] < len(words))] - 1] = False  # pairs over two texts
     total = np.concatenate([[0], np.cumsum(hits)])
     inside = total[np.minimum(np.arange(len(hits)) + width, len(hits))] - total[:-1]
-    return np.flatnonzero(inside >= need)
+    return np.flatnonzero(hits & (inside >= need))
 
 
 def candidates(items: Items, words: np.ndarray, counts: np.ndarray) -> set[tuple[int, int]]:
@@ -172,10 +180,11 @@ def candidates(items: Items, words: np.ndarray, counts: np.ndarray) -> set[tuple
             stops = ends[np.searchsorted(ends, some, "right")]
             for walk in range(WALKS):
                 written = walks(words, some, stops, walk, items.steps(band))
-                for steps, index in zip(items.samples(band, walk), keys[walk], strict=True):
+                for steps, (tags, index) in zip(items.samples(band, walk), keys[walk], strict=True):
                     key = _sampled(written, steps)
-                    for at in np.flatnonzero(np.isin(key, np.array(list(index), dtype=_U))).tolist():
-                        found.update((int(some[at]), k) for k in index[int(key[at])])
+                    near = np.flatnonzero(tags[key >> _U(64 - _TAGS)])
+                    for at, exact in zip(some[near].tolist(), key[near].tolist(), strict=True):
+                        found.update((at, k) for k in index.get(exact, ()))
     return found
 
 
@@ -191,31 +200,62 @@ def distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return int(row[end]), end
 
 
-def matches(items: Items, raws: list[bytes]) -> list[tuple[int, int, int, int]]:
+def matches(items: Items, words: np.ndarray, counts: np.ndarray) -> list[tuple[int, int, int, int]]:
     """Text number, item, distance and number of the last word, the best for each text and item."""
-    words, counts = sequences(raws)
     begins = np.cumsum(counts) - counts
     places: dict[tuple[int, int], list[int]] = defaultdict(list)
-    for at, k in candidates(items, words, counts):
-        places[int(np.searchsorted(begins, at, "right")) - 1, k].append(at)
+    found = np.array(sorted(candidates(items, words, counts)), dtype=np.int64).reshape(-1, 2)
+    texts = np.searchsorted(np.cumsum(counts), found[:, 0], "right")
+    for text, (at, k) in zip(texts.tolist(), found.tolist(), strict=True):
+        places[text, k].append(at)
+    pairs = _pairs(words)
     out = []
     for (text, k), starts in places.items():
         n, most = int(items.sizes[k]), int(items.edits[k])
         low, high = int(begins[text]), int(begins[text] + counts[text])
         best = (most + 1, 0)
-        starts.sort()
         first = 0
         while first < len(starts):  # candidates that overlap are aligned in one go
             last = first
             while last + 1 < len(starts) and starts[last + 1] - starts[last] <= n:
                 last += 1
-            a, z = max(low, starts[first] - n - most), min(high, starts[last] + n + 2 * most + n)
-            d, end = distance(items.words[k], words[a:z])
-            best = min(best, (d, a - low + end - 1))
+            a, z = max(low, starts[first] - n - most), min(high, starts[last] + 2 * (n + most))
+            if sum(map(items.pairs[k].__contains__, pairs[a : z - 1].tolist())) >= n - 1 - 2 * most:
+                d, end = distance(items.words[k], words[a:z])
+                best = min(best, (d, a - low + end - 1))
             first = last + 1
         if best[0] <= most:
             out.append((text, k, *best))
-    return out
+    return out + _equal(items, words, counts)
+
+
+def _equal(items: Items, words: np.ndarray, counts: np.ndarray) -> list[tuple[int, int, int, int]]:
+    found = []
+    if items.whole:
+        ends = np.cumsum(counts)
+        for text in np.flatnonzero((counts > 0) & (counts < MIN_WORDS)).tolist():
+            n = int(counts[text])
+            same = items.whole.get(words[ends[text] - n : ends[text]].tobytes(), [])
+            found += [(text, k, 0, n - 1) for k in same]
+    return found
+
+
+def _gathered(
+    batches: Iterator[pa.RecordBatch], text: str
+) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Runs of rows with many words, so that the walks step over long arrays."""
+    parts, words, counts, held = [], [], [], 0
+    for part, raws in slices(batches, text):
+        w, c = sequences(raws)
+        parts.append(part)
+        words.append(w)
+        counts.append(c)
+        held += len(w)
+        if held > _WORDS:
+            yield pa.Table.from_batches(parts), np.concatenate(words), np.concatenate(counts)
+            parts, words, counts, held = [], [], [], 0
+    if parts:
+        yield pa.Table.from_batches(parts), np.concatenate(words), np.concatenate(counts)
 
 
 def _blocks(items: DataFrame, max_error: float, id_col: str, text_col: str) -> Iterator[Items]:
@@ -259,37 +299,24 @@ def find_leaks(
 
 def _find(items: Items, item_type: pa.DataType):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, raws in slices(batches, "text"):
-            rows = [(t, items.ids[k], d, len(items.words[k]), w) for t, k, d, w in matches(items, raws)]
-            rows += _equal(items, raws)
-            rows.sort(key=lambda r: (r[0], str(r[1])))
-            yield pa.RecordBatch.from_arrays(
+        for rows, words, counts in _gathered(batches, "text"):
+            found = sorted(matches(items, words, counts))
+            text, item, errors, last = zip(*found, strict=True) if found else ((),) * 4
+            out = pa.table(
                 [
-                    batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())),
-                    pa.array([r[1] for r in rows], item_type),
-                    pa.array([r[2] for r in rows], pa.int32()),
-                    pa.array([r[3] for r in rows], pa.int32()),
-                    pa.array([r[4] for r in rows], pa.int64()),
+                    rows.column("doc_id").take(pa.array(text, pa.int64())),
+                    pa.array([items.ids[k] for k in item], item_type),
+                    pa.array(errors, pa.int32()),
+                    pa.array([items.lengths[k] for k in item], pa.int32()),
+                    pa.array(last, pa.int64()),
                 ],
                 ["doc_id", "item_id", "distance", "item_words", "last_word"],
             )
+            yield from out.to_batches()
 
     return find
 
 
-def _equal(items: Items, raws: list[bytes]) -> list[tuple]:
-    if not items.whole:
-        return []
-    words, counts = sequences(raws)
-    ends = np.cumsum(counts)
-    found = []
-    for text in np.flatnonzero((counts > 0) & (counts < MIN_WORDS)).tolist():
-        n = int(counts[text])
-        ids = items.whole.get(words[ends[text] - n : ends[text]].tobytes(), [])
-        found += [(text, i, 0, n, n - 1) for i in ids]
-    return found
-
-
 def clean_documents(
     docs: DataFrame,
     items: DataFrame,
@@ -306,10 +333,12 @@ def clean_documents(
 
 def _clean(items: Items, column: int):
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, raws in slices([batch], batch.schema.names[column]):
-                leaky = {m[0] for m in matches(items, raws)} | {r[0] for r in _equal(items, raws)}
-                yield part.filter(pa.array([k not in leaky for k in range(len(raws))]))
+        first = next(batches, None)
+        if first is not None:
+            name = first.schema.names[column]
+            for rows, words, counts in _gathered(chain([first], batches), name):
+                leaky = {m[0] for m in matches(items, words, counts)}
+                keep = pa.array([k not in leaky for k in range(rows.num_rows)])
+                yield from rows.filter(keep).to_batches()
 
     return clean
-

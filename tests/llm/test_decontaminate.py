@@ -80,7 +80,7 @@ def test_recall_by_edits():
             texts.append(" ".join(text).encode())
             if align(item, text)[0] <= int(len(item) * 0.25):
                 truth.add((k, k))
-        found = {(t, k) for t, k, _, _ in matches(block, texts)}
+        found = {(t, k) for t, k, _, _ in matches(block, *decontaminate.sequences(texts))}
         assert found <= truth or all(align(items[k], texts[t].decode().split())[0] <= len(items[k]) // 4 for t, k in found)
         assert len(found & truth) >= least * len(truth), share
 
