@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
 
@@ -15,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def id_remainder(id_col: str, of: int) -> Column:
+    """crc32 of the id as text, modulo `of`; null for a null id."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % of
+
+
 def raw_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string or binary column; a null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearfold.llm import decontaminate, jaccard, packing, suffix, token_files
-from nearfold.llm.batches import table
+from nearfold.llm import decontaminate, embeddings, jaccard, language, packing, quality, suffix, token_files
+from nearfold.llm.batches import id_remainder, table
 from nearfold.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,27 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.positions(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@query()
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(id_remainder("doc_id", 4) != 2)
+    scored = quality.score_quality(docs, quality.fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        F.coalesce(id_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"),
+    )
+
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.fit(docs.filter(id_remainder("doc_id", 3) != 1)))
+    held_out = F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query()
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix.remove_repeats(table(spark, sf_dir, "documents"))
@@ -83,3 +104,8 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query()
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
