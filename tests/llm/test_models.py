@@ -9,7 +9,7 @@ from nearfold.llm import language, quality, queries
 
 SF_DIR = "/root/testdata/sf0.01"
 SCHEMA = "doc_id bigint, text string, lang string, score string, label int"
-ODD = [(1, None, "en"), (2, "", None), (3, "12 -- ?", "en"), (3, "word " * 20000, "en"), (None, "été où", "fr")]
+ODD = [(1, None, "en"), (2, "", None), (3, "12 -- ?", "en"), (3, "word " * 20000, "en"), (None, "été où la forêt " * 40, "fr")]
 
 
 def crc(doc_id, of):
