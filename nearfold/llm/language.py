@@ -231,7 +231,7 @@ def fit(
 ) -> Field:
     """A chain of the languages in `docs`, from at most `sample` texts of each.
 
-    The texts are those with the least hash of their id; null languages are left out.
+    The texts are those with the least hash of their id; null languages and null ids are left out.
     """
     by = Window.partitionBy("lang").orderBy("h", "id")
     known = docs.filter(F.col(lang_col).isNotNull()).select(

@@ -9,7 +9,8 @@ from nearfold.llm import language, quality, queries
 
 SF_DIR = "/root/testdata/sf0.01"
 SCHEMA = "doc_id bigint, text string, lang string, score string, label int"
-ODD = [(1, None, "en"), (2, "", None), (3, "12 -- ?", "en"), (3, "word " * 20000, "en"), (None, "été où la forêt " * 40, "fr")]
+ODD = [(1, None, "en"), (2, "", None), (3, "12 -- ?", "en"), (3, "word " * 20000, "en"),
+       (None, "été où la forêt", "fr"), (7, "été où la forêt " * 40, "fr")]
 
 
 def crc(doc_id, of):
@@ -78,7 +79,7 @@ def test_language_of_odd_rows(spark):
     nothing = language.fit(docs.limit(0))
     assert [(r.lang_pred, r.score) for r in language.predict(docs, nothing).collect()] == [("und", 0.0)] * len(ODD)
     rows = language.predict(docs, language.fit(docs)).collect()
-    assert [r.lang_pred for r in rows] == ["und", "und", "und", "en", "fr"]
+    assert [r.lang_pred for r in rows] == ["und", "und", "und", "en", "fr", "fr"]
     assert [r.score for r in rows[:3]] == [0.0] * 3 and all(0 <= r.score <= 1 for r in rows)
 
 
