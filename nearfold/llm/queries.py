@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearfold.llm import decontaminate, embeddings, jaccard, language, packing, quality, suffix, token_files
+from nearfold.llm import (
+    chunks, decontaminate, embeddings, jaccard, language, packing, quality, suffix, threads, token_files,
+)
 from nearfold.llm.batches import id_remainder, table
 from nearfold.session import new_folder
 
@@ -26,6 +28,10 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def _removed_bytes() -> Column:
+    return F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
+
+
 @query()
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -64,6 +70,17 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query()
+def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = chunks.drop_repeated_chunks(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_chunks", "n_repeats",
+        _removed_bytes().alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query()
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "token-files")
@@ -96,16 +113,62 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix.remove_repeats(table(spark, sf_dir, "documents"))
-    removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
     return cut.select(
         "doc_id",
         "n_bytes",
-        removed.alias("n_removed"),
+        _removed_bytes().alias("n_removed"),
         F.size("removed").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
 
 
+def _removed_bytes() -> Column:
+    return F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
+
+
+_NORMAL_SQL = r"trim(regexp_replace(lower({}), '[ \t\r\f\n]+', ' ', 'g'))"
+
+
+@query(
+    rf"""WITH m AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+id AS (SELECT *, row_number() OVER () AS k FROM m),
+raw AS (SELECT k, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM id),
+lines AS (SELECT k, i, length(replace(regexp_extract(line, '^((?:> ?)+)', 1), ' ', '')) AS depth,
+                 regexp_replace(line, '^((?:> ?)+)', '') AS body FROM raw),
+edge AS (SELECT *, CASE WHEN depth = lag(depth) OVER (PARTITION BY k ORDER BY i) THEN 0 ELSE 1 END AS e FROM lines),
+run AS (SELECT *, sum(e) OVER (PARTITION BY k ORDER BY i) AS p FROM edge),
+own AS (SELECT k, regexp_replace(string_agg(body, chr(10) ORDER BY i), '^[ 	
+]+|[ 	
+]+$', '', 'g') AS content
+        FROM lines WHERE depth = 0 GROUP BY k),
+unit AS (
+  SELECT k, depth, 0 AS rank, {_NORMAL_SQL.format('body')} AS said FROM lines
+  UNION ALL SELECT k, depth, 1, {_NORMAL_SQL.format("string_agg(body, chr(10) ORDER BY i)")} FROM run GROUP BY k, depth, p
+  UNION ALL SELECT k, 0, 1, {_NORMAL_SQL.format('content')} FROM own),
+said AS (SELECT conv_id, turn, depth, rank, said FROM unit JOIN id USING (k) WHERE said <> '' AND turn IS NOT NULL),
+origin AS (SELECT conv_id, said, min(turn) AS first_turn FROM said WHERE depth = 0 GROUP BY ALL),
+met AS (SELECT s.conv_id, s.turn, s.depth, s.rank, o.first_turn FROM said s JOIN origin o
+        ON o.conv_id IS NOT DISTINCT FROM s.conv_id AND o.said = s.said AND o.first_turn < s.turn WHERE s.depth > 0),
+link AS (SELECT conv_id, turn, count(DISTINCT first_turn) AS n,
+                arg_max(first_turn, (-depth, rank, first_turn)) AS linked FROM met GROUP BY ALL),
+msg AS (SELECT id.conv_id, id.turn, id.role, coalesce(own.content, '') AS content, coalesce(link.n, 0) AS n_links,
+               coalesce(link.linked, prev.turn) AS reply_to
+        FROM id LEFT JOIN own USING (k)
+        LEFT JOIN link ON link.conv_id IS NOT DISTINCT FROM id.conv_id AND link.turn = id.turn
+        LEFT JOIN (SELECT DISTINCT conv_id, turn FROM m) prev
+          ON prev.conv_id IS NOT DISTINCT FROM id.conv_id AND prev.turn = id.turn - 1),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST,
+                                        content, reply_to NULLS FIRST) - 1 AS place FROM msg)
+SELECT conv_id, place // {threads.PART} AS part, count(*) AS n_messages, CAST(sum(n_links) AS BIGINT) AS n_links,
+  string_agg(coalesce(CAST(reply_to AS VARCHAR), '-'), ',' ORDER BY place) AS replies,
+  string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || content || chr(10), '' ORDER BY place) AS chat
+FROM placed GROUP BY ALL"""
+)
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threads.format_chats(table(spark, sf_dir, "conversations"))
+
+
 @query()
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
