@@ -37,7 +37,8 @@ _U = np.uint64
 WIDTH = 200
 GRAM = 64
 HOT = 10_000
-RUNS_PER_BUCKET = 40_000
+RUNS_PER_BUCKET = 20_000
+RUNS_AT_ONCE = 4_000
 ANCHORS_PER_BUCKET = 1_000_000
 FLUSH_BYTES = 12 << 20
 _PLACE = (1 << 24) - 1
@@ -241,6 +242,17 @@ def repeated_windows(
     return string, np.arange(len(string)) - flat[string], repeated, head
 
 
+def _portions(group: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of whole groups, about `RUNS_AT_ONCE` at a time."""
+    order = np.argsort(group, kind="stable")
+    ends = np.append(np.flatnonzero(group[order][1:] != group[order][:-1]) + 1, len(order))
+    at = 0
+    while at < len(order):
+        k = max(int(np.searchsorted(ends, at + RUNS_AT_ONCE, "right")) - 1, int(np.searchsorted(ends, at, "right")))
+        yield order[at : int(ends[k])]
+        at = int(ends[k])
+
+
 def _spans(owner: np.ndarray, place: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Owner, start and end of the runs of consecutive windows; windows are in order."""
     if not len(owner):
@@ -405,6 +417,11 @@ class _Sender:
             yield _run_batch(batch)
 
     def _send_hot(self, hot: list[tuple], rows: dict[int, list]) -> None:
+        hashes = np.array([x[0] for x in hot], dtype=_U)
+        for some in _portions(hashes):
+            self._send_portion([hot[k] for k in some.tolist()], rows)
+
+    def _send_portion(self, hot: list[tuple], rows: dict[int, list]) -> None:
         v, doc, start, anchor, text = zip(*hot, strict=True)
         string, place, repeated, head = repeated_windows(
             list(text), np.array(v, dtype=_U), np.array(anchor, dtype=np.int64), self.width
@@ -469,11 +486,15 @@ def _meet(width: int):
             keep = (hits[kind.reshape(-1)] > 1) & (doc >= 0)
             return pa.table({"row": doc[keep], "start": start[keep], "stop": start[keep] + width})
         ends = np.cumsum(size)
-        strings = [texts[a:z] for a, z in zip((ends - size).tolist(), ends.tolist(), strict=True)]
-        string, place, repeated, _ = repeated_windows(strings, v, anchor.astype(np.int64), width)
-        keep = repeated & (doc[string] >= 0)
-        s, a, z = _spans(string[keep], place[keep], width)
-        return pa.table({"row": doc[s], "start": start[s] + a, "stop": start[s] + z})
+        found = []
+        for some in _portions(v):
+            strings = [texts[a:z] for a, z in zip((ends - size)[some].tolist(), ends[some].tolist(), strict=True)]
+            string, place, repeated, _ = repeated_windows(strings, v[some], anchor[some].astype(np.int64), width)
+            string = some[string]
+            keep = repeated & (doc[string] >= 0)
+            s, a, z = _spans(string[keep], place[keep], width)
+            found.append((doc[s], start[s] + a, start[s] + z))
+        return pa.table(dict(zip(("row", "start", "stop"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
 
     return meet
 
@@ -561,4 +582,3 @@ def remove_repeats(
     joined = rows.join(spans, "row", "left").select("doc_id", "text", "spans")
     schema = f"doc_id {kind}, kept binary, removed array<struct<start:bigint,stop:bigint>>, n_bytes bigint"
     return joined.mapInArrow(_keep, schema)
-
