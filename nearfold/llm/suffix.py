@@ -582,3 +582,37 @@ def remove_repeats(
     joined = rows.join(spans, "row", "left").select("doc_id", "text", "spans")
     schema = f"doc_id {kind}, kept binary, removed array<struct<start:bigint,stop:bigint>>, n_bytes bigint"
     return joined.mapInArrow(_keep, schema)
+
+
+def without_repeats(docs: DataFrame, text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """All rows of `docs` with their columns, the text cut as `remove_repeats` cuts it.
+
+    A character that a cut divides goes as a whole. A null text stays null, and `n_chars`, if there
+    is such a column, is counted anew.
+    """
+    names = {c: f"{c}_of_{'_'.join(docs.columns)}" for c in ("row", "spans")}  # names that no column has
+    numbered = docs.withColumn(names["row"], F.monotonically_increasing_id())
+    rows = numbered.select(F.col(names["row"]).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    with Steps(docs.sparkSession) as steps:
+        spans = repeated_spans(rows, steps, width).withColumnRenamed("spans", names["spans"])
+    joined = numbered.join(spans, numbered[names["row"]] == spans["row"], "left")
+    place, last = docs.columns.index(text_col), len(docs.columns)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, raws in slices([batch], batch.schema.names[place]):
+                spans = part.column(last).to_pylist()
+                valid = part.column(place).is_valid().to_pylist()
+                texts = [
+                    (_cut(raw, s)[0] if s else raw).decode("utf-8", "ignore") if ok else None
+                    for raw, s, ok in zip(raws, spans, valid, strict=True)
+                ]
+                columns = list(part.columns[:last])
+                columns[place] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays(columns, part.schema.names[:last])
+
+    out = joined.select(*docs.columns, names["spans"]).mapInArrow(cut, docs.schema)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.length(text_col).cast(kind))
+    return out
