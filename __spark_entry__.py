@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from nearfold import schemas  # noqa: E402
-from nearfold.fixed import CANDIDATE_BATCH, LINK_BASE, RUNTIME_EDGES, YEAR_EDGES  # noqa: E402
+from nearfold.fixed import CANDIDATE_BATCH, RUNTIME_EDGES, YEAR_EDGES  # noqa: E402
 from nearfold.functions.nulls import normalize_nulls  # noqa: E402
 from nearfold.functions.numbers import bin_right_closed, cast_trunc  # noqa: E402
 from nearfold.functions.text import combined_text  # noqa: E402
@@ -61,7 +61,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.scan(spark, f"{sf_dir}/documents.parquet", ["doc_id", "text"], spread_by="doc_id")
+    return tables.scan(spark, f"{sf_dir}/documents.parquet", ["doc_id", "text"])
 
 
 # --------------------------------------------------------------------------------------------------
@@ -124,13 +124,13 @@ def _raw_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _initial(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _initial(spark: SparkSession, sf_dir: str, year_below: int | None = None) -> dict[str, DataFrame]:
     return catalogue.initial_load(
         normalize_nulls(_raw_titles(spark, sf_dir)),
         _raw_crew(spark, sf_dir),
         _raw_ratings(spark, sf_dir),
         _raw_names(spark, sf_dir),
-        year_below=1950,
+        year_below=year_below,
         title_type="movie",
         adult=0,
     )
@@ -342,14 +342,14 @@ def distinct_keys(spark, sf_dir):
 
 
 @query(
-    f"WITH {_titles_sql(_FIRST_LOAD)}, stored AS (SELECT crew.* FROM crew SEMI JOIN titles USING (tconst))"
+    f"WITH {_titles_sql(_BATCHES)}, stored AS (SELECT crew.* FROM crew SEMI JOIN titles USING (tconst))"
     " SELECT directors_id AS nconst FROM stored UNION SELECT writers_id FROM stored"
 )
 def packed_cells(spark, sf_dir):
     return catalogue.packed_cells(_initial(spark, sf_dir)["crew"])
 
 
-_PERSONS_SQL = f"""WITH {_titles_sql(_FIRST_LOAD)},
+_PERSONS_SQL = f"""WITH {_titles_sql(_BATCHES)},
 stored AS (SELECT crew.* FROM crew SEMI JOIN titles USING (tconst)),
 persons AS (SELECT DISTINCT unnest(string_split(cell, ',')) AS nconst
             FROM (SELECT directors_id AS cell FROM stored UNION ALL SELECT writers_id FROM stored))"""
@@ -370,7 +370,8 @@ def person_names(spark, sf_dir):
 
 @query(f"WITH {_titles_sql(_FIRST_LOAD)} SELECT * FROM titles")
 def clean_titles(spark, sf_dir):
-    return _initial(spark, sf_dir)["titles"]
+    """The first load of one period: the limit is the feature."""
+    return _initial(spark, sf_dir, year_below=1950)["titles"]
 
 
 @query("SELECT 'tt' || p_partkey AS tconst FROM part WHERE p_brand = 'Brand#3' AND p_size <> 13")
@@ -379,19 +380,19 @@ def unreadable_titles(spark, sf_dir):
     return catalogue.unreadable_titles(raw).select("tconst")
 
 
-@query(f"WITH {_titles_sql(_FIRST_LOAD)} SELECT crew.* FROM crew SEMI JOIN titles USING (tconst)")
+@query(f"WITH {_titles_sql(_BATCHES)} SELECT crew.* FROM crew SEMI JOIN titles USING (tconst)")
 def title_crew(spark, sf_dir):
     return _initial(spark, sf_dir)["crew"]
 
 
 @query(
-    f"WITH {_titles_sql(_FIRST_LOAD)} SELECT ratings.* FROM ratings SEMI JOIN titles USING (tconst)"
+    f"WITH {_titles_sql(_BATCHES)} SELECT ratings.* FROM ratings SEMI JOIN titles USING (tconst)"
 )
 def title_ratings(spark, sf_dir):
     return _initial(spark, sf_dir)["ratings"]
 
 
-@query(f"WITH {_titles_sql(_FIRST_LOAD)} SELECT * FROM content")
+@query(f"WITH {_titles_sql(_BATCHES)} SELECT * FROM content")
 def merge_content(spark, sf_dir):
     return _initial(spark, sf_dir)["content"]
 
@@ -413,10 +414,21 @@ def incremental_upsert(spark, sf_dir):
     return keys.upsert(stored, batch, "doc_id")
 
 
-@query("SELECT doc_id, lang, n_chars, 'new' AS state FROM documents")
+@query(
+    """SELECT doc_id, lang, n_chars, CASE WHEN lang = 'en' THEN 'new' ELSE 'stored' END AS state FROM documents d
+WHERE lang = 'en' OR EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"""
+)
 def incremental_refresh(spark, sf_dir):
+    """The batch holds some stored keys and some new ones; others are stored only."""
     stored, batch = _doc_state(spark, sf_dir)
-    return keys.upsert(stored, batch, "doc_id", refresh=True)
+    return keys.upsert(stored, batch.filter("lang = 'en'"), "doc_id", refresh=True)
+
+
+@query("SELECT user_id, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id")
+def latest_per_key(spark, sf_dir):
+    """One row per user, the newest; equal times go to the greater event."""
+    events = _table(spark, sf_dir, "events").select("user_id", "event_id", "ts")
+    return keys.one_per_key(events, "user_id", "ts").select("user_id", "ts", "event_id")
 
 
 # --------------------------------------------------------------------------------------------------
@@ -566,9 +578,13 @@ def reco_array(spark, sf_dir):
 @query(
     f"""{_topk_sql(_PART_CORPUS)}, shown AS (
   SELECT target_id AS p_partkey, rank, other_id, round_even(score * 100, 0) / 100 AS score_2dp,
-         '[' || p_name || ', ' || p_size || ' (' || p_type || ')]({LINK_BASE}' || other_id || ')' AS link
+         '[' || p_name || ', ' || p_size || ' (' || p_type || ')](https://www.imdb.com/title/' || other_id || ')' AS link
   FROM reco JOIN part ON part.p_partkey = other_id)
-SELECT *, 'Matching score : ' || score_2dp || ' Movie : ' || link AS line FROM shown"""
+SELECT *, 'Matching score : ' || score_2dp || ' Movie : ' || link AS line FROM shown
+UNION ALL
+SELECT p_partkey, 0, p_partkey, NULL, link, 'Recommandations for title : ' || link
+FROM (SELECT p_partkey, '[' || p_name || ', ' || p_size || ' (' || p_type || ')](https://www.imdb.com/title/'
+             || p_partkey || ')' AS link FROM part)"""
 )
 def reco_links(spark, sf_dir):
     arrays = shapes.as_arrays(_part_lists(spark, sf_dir), "p_partkey")
@@ -576,7 +592,7 @@ def reco_links(spark, sf_dir):
     return shapes.as_links(arrays, part, "p_partkey", "p_name", "p_size", "p_type")
 
 
-_CONTENT_CORPUS = f"""{_titles_sql(_FIRST_LOAD)},
+_CONTENT_CORPUS = f"""{_titles_sql(_BATCHES)},
 corpus AS (
   SELECT tconst AS id, primaryTitle || ' ' || titleType || ' ' || genres || ' ' || runtimeCategory
          || ' ' || yearCategory || ' ' || directors_id || ' ' || writers_id AS text FROM content)"""
@@ -604,12 +620,13 @@ def rows_list(spark, sf_dir):
 
 
 @query(
-    """SELECT CAST(to_json({'o_orderkey': o_orderkey, 'o_custkey': o_custkey,
-  'o_orderstatus': o_orderstatus, 'o_orderpriority': o_orderpriority}) AS VARCHAR) AS json FROM orders"""
+    """SELECT '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"'
+  || o_orderstatus || '","o_totalprice":' || o_totalprice || ',"o_orderdate":"'
+  || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') || '","o_orderpriority":"' || o_orderpriority || '"}' AS json
+FROM orders"""
 )
 def to_json_records(spark, sf_dir):
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-    return reads.to_json_records(_table(spark, sf_dir, "orders").select(*columns))
+    return reads.to_json_records(_table(spark, sf_dir, "orders"))
 
 
 # --------------------------------------------------------------------------------------------------
@@ -641,13 +658,63 @@ def tsv_scan(spark, sf_dir):
     return tsv.read_tsv(spark, path, schemas.RAW_TITLES, columns)
 
 
-@query(f"WITH {_titles_sql(_FIRST_LOAD)} SELECT * FROM ratings")
+@query(f"WITH {_titles_sql(_BATCHES)} SELECT * FROM ratings")
 def normalise_file(spark, sf_dir):
     path = new_folder(spark, "dump")
     _write_dump(_raw_ratings(spark, sf_dir), path)
     return tsv.normalise_file(spark, path, schemas.RAW_RATINGS, new_folder(spark, "ratings"))
 
 
+@query(
+    """SELECT 'tt' || l_partkey AS tconst, 'nm' || min(l_suppkey) AS directors,
+  'nm' || min(l_suppkey) || ',nm' || max(l_suppkey) AS writers FROM lineitem GROUP BY l_partkey"""
+)
+def crew_file(spark, sf_dir):
+    path = new_folder(spark, "dump")
+    _write_dump(_raw_crew(spark, sf_dir), path)
+    return tsv.normalise_file(spark, path, schemas.RAW_CREW, new_folder(spark, "crew"))
+
+
+@query("SELECT 'nm' || s_suppkey AS nconst, s_name AS primaryName FROM supplier")
+def names_file(spark, sf_dir):
+    path = new_folder(spark, "dump")
+    _write_dump(_raw_names(spark, sf_dir), path)
+    return tsv.read_tsv(spark, path, schemas.RAW_NAMES, ["nconst", "primaryName"])
+
+
+@query(
+    r"""SELECT 'tt' || p_partkey AS tconst, CASE WHEN p_type = 'PROMO' THEN 'short' ELSE 'movie' END AS titleType,
+  CASE WHEN p_brand = 'Brand#1' THEN '1' ELSE '0' END AS isAdult,
+  CASE WHEN p_size = 13 THEN '\N' ELSE CAST(p_size + 1910 AS VARCHAR) END AS startYear FROM part"""
+)
+def candidate_scan(spark, sf_dir):
+    """The scan for candidates, whose null markers stay text."""
+    path = new_folder(spark, "dump")
+    _write_dump(_raw_titles(spark, sf_dir), path)
+    columns = ["tconst", "titleType", "isAdult", "startYear"]
+    return tsv.read_tsv(spark, path, schemas.RAW_TITLES, columns, null_tokens=[])
+
+
+@query("SELECT * REPLACE (p_size + 1 AS p_size) FROM part WHERE p_size > 10")
+def table_replace(spark, sf_dir):
+    """A table overwritten by rows computed from itself."""
+    path = new_folder(spark, "versions")
+    tables.replace(_table(spark, sf_dir, "part"), path)
+    older = tables.read_current(spark, path).filter("p_size > 10")
+    tables.replace(older.withColumn("p_size", (F.col("p_size") + 1).cast("int")), path)
+    return tables.read_current(spark, path)
+
+
+@query(f"{_topk_sql(_PART_CORPUS)} {_wide_sql('p_partkey').replace(' FROM reco', ' FROM reco WHERE target_id = 7')}")
+def score_lookup(spark, sf_dir):
+    """The score table stored, put in place of an older one, and read by key."""
+    path = new_folder(spark, "scores")
+    scores = shapes.as_wide(_part_lists(spark, sf_dir), id_name="p_partkey")
+    tables.replace(scores.limit(0), path)
+    tables.replace(scores, path)
+    return reads.row_lookup(tables.read_current(spark, path), "p_partkey", 7)
+
+
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def csv_export(spark, sf_dir):
     suppliers = _table(spark, sf_dir, "supplier")
@@ -656,7 +723,7 @@ def csv_export(spark, sf_dir):
     return tsv.read_csv(spark, path, suppliers.schema)
 
 
-@query("SELECT event_id, user_id, event_type, value, props FROM events")
+@query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_ingest(spark, sf_dir):
     """Events arrive as a file stream and are stored once per key; a second run adds nothing."""
     schema = _table(spark, sf_dir, "events").schema
@@ -666,7 +733,7 @@ def stream_ingest(spark, sf_dir):
             spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
         )
         ingest.upsert_stream(arriving, store, "event_id", checkpoint)
-    return tables.read_batches(spark, store, schema).drop("ts")
+    return tables.read_batches(spark, store, schema)
 
 
 @query(f"WITH {_titles_sql(_BATCHES)} SELECT * FROM content")
@@ -693,10 +760,42 @@ def title_batch(spark, sf_dir):
     raw = normalize_nulls(_raw_titles(spark, sf_dir))
     sides = (_raw_crew(spark, sf_dir), _raw_ratings(spark, sf_dir), _raw_names(spark, sf_dir))
     for _ in range(2):
-        ingest.run_batch(spark, store, raw, *sides, limit=None)
+        ingest.run_batch(spark, store, raw, *sides)
     return ingest.stored(spark, store, "content")
 
 
+def _one_batch(spark, sf_dir, table):
+    store = new_folder(spark, "store")
+    raw = normalize_nulls(_raw_titles(spark, sf_dir))
+    sides = (_raw_crew(spark, sf_dir), _raw_ratings(spark, sf_dir), _raw_names(spark, sf_dir))
+    ingest.run_batch(spark, store, raw, *sides)
+    return ingest.stored(spark, store, table)
+
+
+@query(f"{_PERSONS_SQL} SELECT nconst, s_name AS primaryName FROM persons JOIN supplier ON nconst = 'nm' || s_suppkey")
+def batch_names(spark, sf_dir):
+    """Names that a batch stores."""
+    return _one_batch(spark, sf_dir, "names")
+
+
+@query("SELECT 'tt' || p_partkey AS tconst FROM part WHERE p_type <> 'PROMO' AND p_brand <> 'Brand#1'")
+def batch_attempted(spark, sf_dir):
+    """Keys that a batch marks as tried, whether they pass cleaning or not."""
+    return _one_batch(spark, sf_dir, "attempted")
+
+
+@query(f"WITH {_titles_sql(_BATCHES)} SELECT * FROM content")
+def title_refresh(spark, sf_dir):
+    """A first delivery with old ratings and without some of the crew, then the full one."""
+    store = new_folder(spark, "store")
+    raw = normalize_nulls(_raw_titles(spark, sf_dir))
+    crew, ratings, names = (make(spark, sf_dir) for make in (_raw_crew, _raw_ratings, _raw_names))
+    early = ratings.withColumn("numVotes", F.col("numVotes") - 1)
+    ingest.run_batch(spark, store, raw, crew.filter(~F.col("tconst").endswith("3")), early, names)
+    ingest.run_batch(spark, store, raw, crew, ratings, names, refresh=True)
+    return ingest.current(spark, store, "content")
+
+
 # --------------------------------------------------------------------------------------------------
 # Training-data operators, where their package is there
 

@@ -33,7 +33,6 @@ FEATURE_COLUMNS = [
 # Sizes.
 NEIGHBOURS = 10
 CANDIDATE_BATCH = 100
-INITIAL_YEAR_BELOW = 1950
 
 # Address in front of a title id in a displayed link.
 LINK_BASE = "https://www.imdb.com/title/"
@@ -41,3 +40,4 @@ LINK_BASE = "https://www.imdb.com/title/"
 # Text around a displayed recommendation.
 SCORE_CAPTION = "Matching score : "
 TITLE_CAPTION = " Movie : "
+HEADING_CAPTION = "Recommandations for title : "

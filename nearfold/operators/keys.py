@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearfold.operators.joins import anti_keys
@@ -20,11 +20,6 @@ def distinct_keys(sources: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, sources).distinct()
 
 
-def unpacked(col: Column, sep: str = ",") -> Column:
-    """One row per element of a packed list."""
-    return F.explode(F.split(col, sep))
-
-
 def packed_keys(df: DataFrame, cols: Sequence[str], name: str, sep: str = ",") -> DataFrame:
     """Distinct single keys found in packed list columns.
 
@@ -45,12 +40,32 @@ def unseen_batch(
     return fresh if limit is None else fresh.orderBy(key).limit(limit)
 
 
-def upsert(stored: DataFrame, batch: DataFrame, key: str, refresh: bool = False) -> DataFrame:
+def one_per_key(rows: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """One row for each key, rows without a key left out.
+
+    Of several rows the one with the greatest `order` stays (null counts as least); equal ones, and
+    all if there is no `order`, go by the greatest values of the other columns from the left. So the
+    choice does not depend on partitions. The maximum is taken before the shuffle too, hence a key
+    that fills a third of the rows sends one row per task.
+    """
+    if rows.columns == [key]:
+        return rows.filter(F.col(key).isNotNull()).distinct()
+    first = [order] if order and order != key else []
+    ranked = F.struct(*first, *[c for c in rows.columns if c not in (key, *first)])
+    best = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(ranked).alias("_best"))
+    return best.select(*[F.col(c) if c == key else F.col(f"_best.{c}").alias(c) for c in rows.columns])
+
+
+def upsert(
+    stored: DataFrame, batch: DataFrame, key: str, refresh: bool = False, order: str | None = None
+) -> DataFrame:
     """Stored rows plus the batch rows with new keys.
 
-    Keys already stored keep their row; with `refresh` the batch's row replaces it. Applying the same
-    batch again changes nothing.
+    Keys already stored keep their row; with `refresh` the batch's row replaces it. Of several batch
+    rows with one key one is taken, see `one_per_key`; rows without a key are not taken. Applying the
+    same batch again changes nothing.
     """
+    batch = one_per_key(batch, key, order)
     if refresh:
         return anti_keys(stored, batch, key).unionByName(batch)
     return stored.unionByName(anti_keys(batch, stored, key))

@@ -18,11 +18,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfold.fixed import CANDIDATE_BATCH, RUNTIME_EDGES, RUNTIME_REJECTS, YEAR_EDGES
+from nearfold.fixed import RUNTIME_EDGES, RUNTIME_REJECTS, YEAR_EDGES
 from nearfold.functions.numbers import bin_right_closed, cast_trunc
 from nearfold.operators.filters import dropna_any, dropna_subset, reject_list
 from nearfold.operators.joins import anti_keys, merge_on_key, semi_keys
-from nearfold.operators.keys import distinct_keys, packed_keys, unseen_batch
+from nearfold.operators.keys import distinct_keys, one_per_key, packed_keys, unseen_batch
 from nearfold.schemas import CONTENT, CREW, NAMES, RATINGS, TITLES
 
 NUMBER_COLUMNS = ["startYear", "runtimeMinutes", "isAdult"]
@@ -113,9 +113,9 @@ def candidate_keys(
     attempted: DataFrame,
     title_type: str = "movie",
     adult: int = 0,
-    limit: int | None = CANDIDATE_BATCH,
+    limit: int | None = None,
 ) -> DataFrame:
-    """The next keys to work on: of this type, not adult, never tried before."""
+    """The keys to work on: of this type, not adult, never tried before; with `limit` so many of them."""
     wanted = raw.filter(
         (F.col("titleType") == title_type) & (F.col("isAdult").try_cast("double") == adult)
     )
@@ -166,10 +166,11 @@ def initial_load(
 ) -> dict[str, DataFrame]:
     """All stored tables of a first load, as one lazy plan per table.
 
-    The merge takes crew and ratings unfiltered: its inner joins select the same titles in one
-    shuffle per table.
+    A key delivered more than once in a dump is stored once, see `one_per_key`. The merge takes crew
+    and ratings unfiltered: its inner joins select the same titles in one shuffle per table.
     """
-    stored = clean_titles(titles, **limits)
+    stored = one_per_key(clean_titles(titles, **limits), "tconst")
+    crew, ratings, names = one_per_key(crew, "tconst"), one_per_key(ratings, "tconst"), one_per_key(names, "nconst")
     stored_crew = clean_crew(crew, stored)
     persons = person_keys(stored_crew)
     return {

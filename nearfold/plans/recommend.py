@@ -25,15 +25,9 @@ def recommendations(
     id_col: str = "tconst",
     cols: Sequence[str] = FEATURE_COLUMNS,
     k: int = NEIGHBOURS,
-    corpus_limit: int | None = None,
     **options,
 ) -> DataFrame:
-    """Neighbour lists of every title over the whole table.
-
-    `corpus_limit` restricts the corpus to its first rows in id order, for those who want that.
-    """
-    if corpus_limit is not None:
-        content = content.orderBy(id_col).limit(corpus_limit)
+    """Neighbour lists of every title over the whole table."""
     return neighbour_lists(features(content, id_col, cols), id_col, "combined_features", k, **options)
 
 

@@ -24,9 +24,6 @@ RAW_NAMES = _table(
     nconst=_TEXT, primaryName=_TEXT, birthYear=_TEXT, deathYear=_TEXT,
     primaryProfession=_TEXT, knownForTitles=_TEXT,
 )
-TITLE_COLUMNS = [
-    "tconst", "titleType", "primaryTitle", "startYear", "runtimeMinutes", "genres", "isAdult",
-]
 
 # Stored tables.
 TITLES = _table(

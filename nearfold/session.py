@@ -20,6 +20,7 @@ def local_session(cpus: int | str = "*", app: str = "nearfold") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.files.minPartitionNum", "8")
         .getOrCreate()
     )
 
@@ -52,7 +53,7 @@ def freeze(df: DataFrame, name: str) -> DataFrame:
 class Steps:
     """Frozen tables of one run that nothing reads once its result is written; removed at the end.
 
-    Use as `with Steps(spark) as steps: ...` and write the result before the block ends.
+    After an error they stay. Use as `with Steps(spark) as steps: ...` and write the result before the block ends.
     """
 
     def __init__(self, spark: SparkSession) -> None:
@@ -65,7 +66,9 @@ class Steps:
     def __enter__(self) -> Steps:
         return self
 
-    def __exit__(self, *_: object) -> None:
+    def __exit__(self, kind: type | None, *_: object) -> None:
+        if kind is not None:  # what failed may still be looked into, or be the only copy
+            return
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 

@@ -12,7 +12,6 @@ from nearfold.fixed import NULL_TOKENS
 from nearfold.functions.nulls import normalize_nulls, null_if_token
 
 
-
 def read_tsv(
     spark: SparkSession,
     path: str | list[str],
@@ -30,14 +29,14 @@ def read_tsv(
     them. The dumps are unquoted, so `quote` is off and a leading `"` is an ordinary character; with
     `quote='"'` a quoted value may span lines (and the file can no longer be split).
 
-    A gzip file is always read by one task. `spread` deals the rows to that many partitions after
-    the scan; many files need none.
+    A gzip file is always read by one task. `spread` deals its lines to that many partitions before
+    anything else is done with them; many files need none.
     """
     names = list(columns) if columns else schema.names
     text = _read_text(spark, path, schema, quote).select(*names)
+    text = text.repartition(spread) if spread else text
     text = normalize_nulls(text, names, null_tokens)
-    out = text.select(*[_typed(F.col(n), schema[n].dataType, strict).alias(n) for n in names])
-    return out.repartition(spread) if spread else out
+    return text.select(*[_typed(F.col(n), schema[n].dataType, strict).alias(n) for n in names])
 
 
 def rejected_rows(
@@ -64,8 +63,15 @@ def normalise_file(
     out: str,
     null_tokens: Sequence[str] = NULL_TOKENS,
 ) -> DataFrame:
-    """Scan a dump, turn its null markers into nulls, store it as Parquet, and return the table."""
-    read_tsv(spark, path, schema, null_tokens=null_tokens).write.mode("overwrite").parquet(out)
+    """Scan a dump, turn its null markers into nulls, store it as Parquet, and return the table.
+
+    One task unpacks a gzip file; its lines are then rebalanced over all tasks, which convert and
+    write them, into files of Spark's advisory size.
+    """
+    text = _read_text(spark, path, schema, "").hint("rebalance")
+    text = normalize_nulls(text, schema.names, null_tokens)
+    rows = text.select(*[_typed(F.col(f.name), f.dataType, False).alias(f.name) for f in schema.fields])
+    rows.write.mode("overwrite").parquet(out)
     return spark.read.schema(schema).parquet(out)
 
 

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from nearfold.fixed import CANDIDATE_BATCH, NULL_TOKENS
+from nearfold.fixed import NULL_TOKENS
 from nearfold.functions.nulls import normalize_nulls
 from nearfold.operators.joins import anti_keys, semi_keys
+from nearfold.operators.keys import distinct_keys, one_per_key, upsert
 from nearfold.plans.catalogue import (
     candidate_keys,
     clean_crew,
@@ -52,6 +53,12 @@ def stored(spark: SparkSession, store: str, table: str, before: int | None = Non
     return read_batches(spark, f"{store}/{table}", STORED[table], before)
 
 
+def current(spark: SparkSession, store: str, table: str, before: int | None = None) -> DataFrame:
+    """The newest row per key of one of the stored tables."""
+    key = "nconst" if table == "names" else "tconst"
+    return read_latest(spark, f"{store}/{table}", STORED[table], key, before=before)
+
+
 def next_batch(spark: SparkSession, store: str) -> int:
     """The number after the last finished batch."""
     done = read_numbered(spark, f"{store}/attempted", KEYS).agg(F.max(BATCH)).first()[0]
@@ -66,27 +73,45 @@ def run_batch(
     ratings: DataFrame,
     names: DataFrame,
     batch: int | None = None,
-    limit: int | None = CANDIDATE_BATCH,
+    limit: int | None = None,
+    refresh: bool = False,
 ) -> None:
-    """Take the next unseen titles through cleaning, crew, ratings, names and merge.
+    """Take all unseen titles through cleaning, crew, ratings, names and merge.
 
-    A title counts as attempted even if cleaning drops it, so bad rows cannot block the queue. The
-    merged table grows by the batch's rows, which equals rebuilding it from the stored tables.
+    With `limit` only so many, the first in key order; the rest waits for the next batch. A title
+    counts as attempted even if cleaning drops it, so bad rows cannot block the queue. With `refresh`
+    the titles tried before whose cleaned row, crew or rating is new or changed in the dumps are
+    taken again; `current` then shows each title's newest row. What a dump lacks stays as stored.
+    Of several rows with one key a dump gives the one that `one_per_key` names.
     """
     if batch is None:
         batch = next_batch(spark, store)
     with Steps(spark) as steps:
-        attempted = stored(spark, store, "attempted", batch)
-        keys = steps.freeze(candidate_keys(titles, attempted, limit=limit), "keys")
-        new = {
-            "titles": steps.freeze(clean_titles(titles, keys).dropDuplicates(["tconst"]), "titles"),
-            "crew": steps.freeze(clean_crew(crew, keys).dropDuplicates(["tconst"]), "crew"),
-            "ratings": steps.freeze(clean_ratings(ratings, keys).dropDuplicates(["tconst"]), "ratings"),
+        attempted = stored(spark, store, "attempted", batch).distinct()
+        unseen = steps.freeze(candidate_keys(titles, attempted, limit=limit), "unseen")
+        delivered = {
+            "titles": lambda keys: clean_titles(titles, keys),
+            "crew": lambda keys: clean_crew(crew, keys),
+            "ratings": lambda keys: clean_ratings(ratings, keys),
         }
+        keys = unseen
+        if refresh:
+            changed = [
+                one_per_key(rows(attempted), "tconst").exceptAll(current(spark, store, table, batch)).select("tconst")
+                for table, rows in delivered.items()
+            ]
+            keys = steps.freeze(distinct_keys([unseen, *changed]), "keys")
+        new = {}
+        for table, rows in delivered.items():
+            taken = one_per_key(rows(keys), "tconst")
+            if refresh:
+                before = semi_keys(current(spark, store, table, batch), keys, "tconst")
+                taken = upsert(before, taken, "tconst", refresh=True)
+            new[table] = steps.freeze(taken, table)
         persons = person_keys(new["crew"], stored(spark, store, "names", batch))
-        new["names"] = clean_names(names, persons).dropDuplicates(["nconst"])
+        new["names"] = one_per_key(clean_names(names, persons), "nconst")
         new["content"] = merge_content(new["titles"], new["crew"], new["ratings"])
-        new["attempted"] = keys
+        new["attempted"] = unseen
         for table, rows in new.items():
             append_batch(rows, f"{store}/{table}", batch)
 
@@ -117,25 +142,28 @@ def title_stream(
     store: str,
     checkpoint: str,
     side_tables: Callable[[], tuple[DataFrame, DataFrame, DataFrame]],
+    refresh: bool = False,
 ) -> StreamingQuery:
     """Run every drop of titles through `run_batch`, then stop when no files are left.
 
     `side_tables` gives crew, ratings and names as they are when a batch starts. A drop is taken
-    whole; `maxFilesPerTrigger` of the stream bounds a batch.
+    whole; `maxFilesPerTrigger` of the stream bounds a batch. With `refresh` a drop also takes up what
+    is new or changed in it and the side tables for titles tried before.
     """
 
     def take(rows: DataFrame, batch: int) -> None:
-        run_batch(rows.sparkSession, store, rows, *side_tables(), batch=batch, limit=None)
+        run_batch(rows.sparkSession, store, rows, *side_tables(), batch=batch, refresh=refresh)
 
     return _run(titles, take, checkpoint)
 
 
 def upsert_stream(
-    rows: DataFrame, table: str, key: str, checkpoint: str, refresh: bool = False
+    rows: DataFrame, table: str, key: str, checkpoint: str, refresh: bool = False, order: str | None = None
 ) -> StreamingQuery:
     """Store every arriving row whose key is not stored yet, then stop when no files are left.
 
-    With `refresh`, changed rows are stored as well and `current_rows` shows the newest one per key.
+    Of several arriving rows with one key one is stored, that with the greatest `order`; rows without
+    a key are not stored. With `refresh`, changed rows are stored as well and `current_rows` shows the newest one per key.
     A batch reads only the key column of what is stored, and the stored keys are cut down to those of
     the batch first: the batch is written, so its size is known, and while it is small it is sent to
     the stored keys instead of shuffling them.
@@ -145,7 +173,7 @@ def upsert_stream(
     def take(batch_rows: DataFrame, batch: int) -> None:
         spark = batch_rows.sparkSession
         with Steps(spark) as steps:
-            arrived = steps.freeze(batch_rows.dropDuplicates([key]), "arrived")
+            arrived = steps.freeze(one_per_key(batch_rows, key, order), "arrived")
             if not refresh:
                 known = read_batches(spark, table, schema, batch).select(key)
                 arrived = anti_keys(arrived, semi_keys(known, arrived, key), key)
@@ -154,9 +182,11 @@ def upsert_stream(
     return _run(rows, take, checkpoint)
 
 
-def current_rows(spark: SparkSession, table: str, schema: T.StructType, key: str) -> DataFrame:
-    """The newest stored row per key."""
-    return read_latest(spark, table, schema, key)
+def current_rows(
+    spark: SparkSession, table: str, schema: T.StructType, key: str, order: str | None = None
+) -> DataFrame:
+    """The newest stored row per key: with the greatest `order`, else of the latest batch."""
+    return read_latest(spark, table, schema, key, order)
 
 
 def _run(

@@ -76,7 +76,11 @@ def test_score_table_and_reads(spark, sides):
     arrays = recommend.reco_arrays(scores, "tt2")
     wide = recommend.reco_wide(scores, "tt2")
     assert arrays.titles == [wide[f"top{i}"] for i in range(1, 11)] and "tt2" not in arrays.titles
-    lines = recommend.reco_links(scores, content, "tt2").collect()
+    heading, *lines = recommend.reco_links(scores, content, "tt2").collect()
+    assert (heading.rank, heading.other_id, heading.score_2dp) == (0, "tt2", None)
+    assert heading.line == (
+        "Recommandations for title : [Title tt2, 1902 (Drama,Comedy)](https://www.imdb.com/title/tt2)"
+    )
     assert [r.other_id for r in lines] == arrays.titles
     first = arrays.titles[0]
     assert lines[0].link == (
@@ -85,8 +89,6 @@ def test_score_table_and_reads(spark, sides):
     assert recommend.title_info(content, "tt2").primaryTitle == "Title tt2"
     with pytest.raises(KeyError):
         recommend.reco_wide(scores, "tt3")
-    limited = recommend.recommendations(content, corpus_limit=3)
-    assert limited.count() == 3
 
 
 def test_failing_titles_do_not_block_the_queue(spark, sides, tmp_path):
@@ -157,3 +159,41 @@ def test_upsert_stream(spark, tmp_path):
         take(refresh, progress)
         got = ingest.current_rows(spark, table + progress, kind, "k").orderBy("k").collect()
         assert [tuple(r) for r in got] == [(1, "old"), (2, want), (3, "new")]
+
+
+def test_fixed_values():
+    from nearfold import fixed
+
+    assert fixed.RUNTIME_EDGES == [0, 10, 20, 30, 45, 60, 120, 150, 180, 9999]
+    assert fixed.YEAR_EDGES == [1850, 1900, 1930, 1950, 1960, 1970, 1980, 1990, 2000, 2010, 2020, 2030]
+    assert fixed.LINK_BASE == "https://www.imdb.com/title/" and fixed.CANDIDATE_BATCH == 100
+
+
+def test_repeated_deliveries_do_not_multiply(spark, sides):
+    crew, ratings, names = (side.unionByName(side) for side in sides)
+    once = catalogue.initial_load(titles(spark, ROWS), *sides)
+    twice = catalogue.initial_load(titles(spark, ROWS + ROWS), crew, ratings, names)
+    for table in once:
+        assert sorted(map(str, twice[table].collect())) == sorted(map(str, once[table].collect())), table
+
+
+def test_late_crew_and_new_ratings_arrive(spark, sides, tmp_path):
+    store = str(tmp_path / "store")
+    crew, ratings, names = sides
+    raw = titles(spark, ROWS)
+    ingest.run_batch(spark, store, raw, crew.limit(0), ratings, names)
+    assert ingest.stored(spark, store, "content").count() == 0
+    for _ in range(2):
+        ingest.run_batch(spark, store, raw, crew, ratings, names, refresh=True)
+    whole = str(tmp_path / "whole")
+    ingest.run_batch(spark, whole, raw, crew, ratings, names)
+    want = sorted(map(str, ingest.stored(spark, whole, "content").collect()))
+    assert want and sorted(map(str, ingest.current(spark, store, "content").collect())) == want
+    assert ingest.stored(spark, store, "attempted").count() == ingest.stored(spark, whole, "attempted").count()
+
+
+def test_a_limited_batch_leaves_the_rest(spark, sides, tmp_path):
+    store = str(tmp_path / "store")
+    for taken in (3, 6, 7):
+        ingest.run_batch(spark, store, titles(spark, ROWS), *sides, limit=3)
+        assert ingest.stored(spark, store, "attempted").count() == taken

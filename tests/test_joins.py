@@ -86,7 +86,6 @@ def test_key_sets(spark):
     assert rows(keys.packed_keys(crew, ["d", "w"], "n")) == [("nm1",), ("nm2",), ("nm3",)]
     both = keys.distinct_keys([crew.select(F.col("d").alias("n")), crew.select(F.col("w").alias("n"))])
     assert sorted(str(r.n) for r in both.collect()) == ["None", "nm1", "nm1,nm2", "nm3"]
-    assert rows(crew.filter("d IS NOT NULL").select(keys.unpacked(F.col("d")))) == [("nm1",), ("nm2",)]
 
 
 def test_upsert_is_idempotent(spark):
@@ -102,3 +101,17 @@ def test_stage_counts(spark):
     got = stage_counts(df, {"even": F.col("id") % 2 == 0, "big": F.col("id") > 4}).collect()
     assert [tuple(r) for r in got] == [("input", 10), ("even", 5), ("big", 2)]
     assert rows(union_counts({"a": df, "b": df.limit(3)})) == [("a", 10), ("b", 3)]
+
+
+def test_one_row_per_key(spark):
+    batch = spark.createDataFrame(
+        [(1, 5, "a"), (1, 7, "b"), (1, None, "z"), (None, 9, "n"), (2, 1, None), (2, 1, "x"), (2, 1, "x")],
+        "k int, at int, v string",
+    )
+    assert rows(keys.one_per_key(batch, "k", "at")) == [(1, 7, "b"), (2, 1, "x")]
+    assert rows(keys.one_per_key(batch.select("k"), "k")) == [(1,), (2,)]
+    stored = spark.createDataFrame([(1, 1, "old"), (3, 1, "old")], "k int, at int, v string")
+    once = keys.upsert(stored, batch, "k", refresh=True, order="at")
+    assert rows(once) == [(1, 7, "b"), (2, 1, "x"), (3, 1, "old")]
+    assert rows(keys.upsert(once, batch, "k", refresh=True, order="at")) == rows(once)
+    assert rows(keys.upsert(stored, batch, "k")) == [(1, 1, "old"), (2, 1, "x"), (3, 1, "old")]

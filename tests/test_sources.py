@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from nearfold import schemas
 from nearfold.fixed import PANDAS_NULL_TOKENS
 from nearfold.operators.reads import get_row, row_lookup, rows_list, to_json_records
+from nearfold.session import Steps
 from nearfold.sources import tables, tsv
 
 TITLES = """tconst\ttitleType\tprimaryTitle\toriginalTitle\tisAdult\tstartYear\tendYear\truntimeMinutes\tgenres
@@ -15,6 +16,9 @@ tt1\tmovie\t"Quoted\tone\t0\t1920\t\\N\t95\tDrama
 tt2\tmovie\tNone\ttwo\t0\t\\N\t\\N\t60\tDrama
 tt3\tmovie\tend"\tthree\t0\t1930\t\\N\tReality-TV\tDrama,Comedy
 """
+TITLE_COLUMNS = [
+    "tconst", "titleType", "primaryTitle", "startYear", "runtimeMinutes", "genres", "isAdult",
+]
 RATINGS = "tconst\taverageRating\tnumVotes\ntt1\t5.5\t10\ntt2\tbad\t7\ntt3\t\\N\t3\n"
 
 
@@ -26,8 +30,8 @@ def gz(tmp_path, name, text):
 
 def test_titles(spark, tmp_path):
     path = gz(tmp_path, "titles.tsv.gz", TITLES)
-    df = tsv.read_tsv(spark, path, schemas.RAW_TITLES, schemas.TITLE_COLUMNS)
-    assert df.columns == schemas.TITLE_COLUMNS
+    df = tsv.read_tsv(spark, path, schemas.RAW_TITLES, TITLE_COLUMNS)
+    assert df.columns == TITLE_COLUMNS
     assert [(r.tconst, r.primaryTitle, r.startYear) for r in df.collect()] == [
         ("tt1", '"Quoted', "1920"), ("tt2", "None", None), ("tt3", 'end"', "1930"),
     ]
@@ -98,9 +102,31 @@ def test_table_batches(spark, tmp_path):
 
 def test_replace_table_by_itself(spark, tmp_path):
     path = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        tables.read_current(spark, path)
     tables.replace(spark.range(5), path)
-    tables.replace(tables.scan(spark, path).filter("id > 2"), path, reads_itself=True)
-    assert sorted(r.id for r in tables.scan(spark, path).collect()) == [3, 4]
+    for least in (2, 3):
+        tables.replace(tables.read_current(spark, path).filter(f"id > {least}"), path)
+    assert [r.id for r in tables.read_current(spark, path).collect()] == [4]
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.is_dir()) == ["version=1", "version=2"]
+
+
+def test_failed_replacement_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.replace(spark.range(5), path)
+    broken = tables.read_current(spark, path).withColumn("x", F.raise_error(F.lit("no")))
+    with pytest.raises(Exception, match="no"):
+        tables.replace(broken, path)
+    assert tables.read_current(spark, path).count() == 5
+    tables.replace(spark.range(2), path)  # over what the failed write left behind
+    assert tables.read_current(spark, path).count() == 2
+
+
+def test_steps_stay_after_an_error(spark):
+    with pytest.raises(ValueError), Steps(spark) as steps:
+        steps.freeze(spark.range(3), "kept")
+        raise ValueError
+    assert spark.read.parquet(f"{steps.path}/kept").count() == 3
 
 
 def test_reads(spark):

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 
 from conftest import plan_of
 from nearfold.operators import products, topk
-from nearfold.operators.shapes import as_arrays, as_long, as_wide, pack_long, wide_to_arrays
+from nearfold.operators.shapes import as_arrays, as_long, as_wide, wide_to_arrays
 from nearfold.operators.topk import cosine_topk, neighbour_lists
 from nearfold.session import shared_dir
 
@@ -132,8 +132,6 @@ def test_small_corpus_gives_short_lists(spark):
     assert as_arrays(lists).filter("size(titles) <> 4 OR size(scores) <> 4").isEmpty()
     again = wide_to_arrays(as_wide(lists), "target_id").orderBy("target_id").collect()
     assert again == as_arrays(lists).orderBy("target_id").collect()
-    packed = pack_long(as_long(lists)).orderBy("target_id").collect()
-    assert packed == lists.orderBy("target_id").collect()
 
 
 def test_ids_must_be_unique(spark):
