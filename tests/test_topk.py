@@ -154,7 +154,7 @@ def test_plans(spark, monkeypatch):
     monkeypatch.setattr(topk, "freeze", watched(topk.freeze))
     monkeypatch.setattr(topk.Steps, "freeze", watched(topk.Steps.freeze))
     run(spark, corpus(5), 4, block_rows=6)
-    assert {"rows", "groups", "vocabulary", "vectors", "own", "peaks", "routes", "lists"} == set(plans)
+    assert {"rows", "groups", "vocabulary", "ordered", "vectors", "own", "peaks", "routes", "lists"} == set(plans)
     for plan in plans.values():
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
         assert "BatchEvalPython" not in plan
@@ -163,6 +163,29 @@ def test_plans(spark, monkeypatch):
     assert "row_number(), 5, Partial" in plans["lists"]
 
 
+def test_blocks_end_at_rows_or_postings(spark, monkeypatch):
+    """A few very long texts between short ones: no block passes either bound by more than one row."""
+    monkeypatch.setattr(topk, "MAX_BLOCK_POSTINGS", 120)
+    texts = {i: " ".join(f"w{(i * j) % 90}" for j in range(80 if i % 9 == 0 else 6)) for i in range(1, 120)}
+    seen = {}
+    step = topk.Steps.freeze
+
+    def freeze(self, df, name):
+        seen[name] = step(self, df, name)
+        if name == "vectors":
+            seen["rows"] = seen[name].selectExpr("block", "size(terms) AS n").collect()
+        return seen[name]
+
+    monkeypatch.setattr(topk.Steps, "freeze", freeze)
+    df = spark.createDataFrame(list(texts.items()), "id bigint, text string")
+    lists = topk.neighbour_lists(df, "id", "text", 3, block_rows=10).count()
+    blocks = {}
+    for r in seen["rows"]:
+        blocks.setdefault(r.block, []).append(r.n)
+    assert lists == len(texts) and len(blocks) > 5
+    assert all(len(b) <= 10 and sum(b) - max(b) <= 120 for b in blocks.values())
+
+
 def test_steps_are_removed(spark):
     folder = Path(shared_dir(spark).removeprefix("file:")) / "nearfold"
     before = set(folder.glob("steps-*")) if folder.exists() else set()
