@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,13 +38,14 @@ def slices(
     for batch in batches:
         if not batch.num_rows:
             continue
-        raws = raw_texts(batch.column(batch.schema.get_field_index(text)))
-        ends = np.cumsum([len(x) for x in raws])
+        column = batch.column(batch.schema.get_field_index(text)).cast(pa.binary())
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64)
         first = 0
-        while first < len(raws):
+        while first < len(ends):
             done = ends[first - 1] if first else 0
             last = max(first + 1, int(np.searchsorted(ends, done + limit, "right")))
-            yield batch.slice(first, last - first), raws[first:last]
+            yield batch.slice(first, last - first), raw_texts(column.slice(first, last - first))
             first = last
 
 

@@ -1,27 +1,37 @@
 """Exact Jaccard join of word-shingle sets by partitioning the universe into segments.
 
 Sets of n and p shingles whose Jaccard similarity is at least t differ in at most
-`(1 - t) / (1 + t) * (n + p)` shingles. Sizes fall into bands, each four times as wide as the one
-before; a pair belongs to the band of its larger set. A band hashes the universe into segments, and
-by the pigeonhole principle two sets with at most H differences agree on a segment before more than
-H others have differed, in whatever common order segments are visited. So each set indexes the
-hashes of its segments' subsets, in an order common to its band, until they are worth H + 1 credits:
-
-* the subset itself is worth one credit;
-* the subset and its one-deletion neighbourhood are worth two, where the band allots it, because a
-  segment that matches neither way holds two differences.
-
-Cost decides the allotment. Shingle counts of all documents per band and hash range order segments
-from cheap to dear, so what many documents share (a passage, a licence) comes last and is rarely
-indexed; and where cheap segments alone cannot pay H + 1 credits, cheap ones get neighbourhoods.
-A set whose segments cannot pay at all also indexes its first H + 1 shingles, as in prefix filtering.
-
-Equal sets collapse first. Index entries travel as packed arrays; within a task all sets with the
-same entry send one of them, the pivot, so no entry gathers more rows than there are tasks. Entries
-give stars, not pairs: pivot with each other set. Stars are verified on the words themselves and
-linked into components. Only where sets that share an entry still lie in different components are
-their pairs compared too; pairs inside a component can change nothing. So no link between components
-is lost, and a group of copies costs its size and not its square.
+`(1 - t) / (1 + t) * (n + p)` shingles. Sizes fall into bands, each twice as wide as the one before; a
+pair belongs to the band of its larger set. A band hashes the universe into segments, four shingles
+of its largest sets each. Segments are visited in an order common to the band, and a set indexes the
+hashes of its segments' subsets until these are worth H + 1 credits, H the most differences to a
+partner. A credit is a difference that the partner must have if it shares no entry:
+
+* a subset of `LEAST` shingles or more is indexed itself and worth one credit;
+* where the band allots it, a larger subset is indexed with its one-deletion neighbourhood and worth
+  two, because a partner's subset that is neither equal nor one shingle off holds two differences;
+* smaller subsets are worth nothing. They would match wherever two texts share a few words.
+
+By the pigeonhole principle a similar pair shares the entry of a segment that both have indexed: if
+the first segment on which they agree came after one of them had stopped, H + 1 differences would
+lie before it. Cost decides the order and the allotment. Shingle counts of all documents per band
+and hash range order segments from cheap to dear, so what many documents share (a passage, a
+licence) comes last and is rarely indexed; neighbourhoods go to the cheapest segments, as many as the
+credits ask for. A set whose segments cannot pay (mostly a small one) also indexes its first H + 1
+shingles, as in prefix filtering; where only one of a pair cannot pay, its partner's credits suffice.
+
+Candidates are thinned by a parity sketch: every shingle flips one bit, so two sketches differ in no
+more bits than their sets differ in shingles, and a pair whose sketches differ in more than H bits is
+out. This loses nothing and costs a bit or so per shingle.
+
+Equal sets collapse first. Index entries travel as packed arrays; within a task the sets with the
+same entry send one of them, the pivot, for all that its sketch allows (and for all, if very many
+others remain), so no entry gathers more rows than a bound times the number of tasks. Entries give
+stars, not pairs: pivot with each other set. Stars are verified on the words themselves and linked
+into components. Only where sets that share an entry still lie in different components are
+their sketches compared pair by pair, within a task and in tiles of bounded size; pairs inside a
+component can change nothing. So no link between components is lost, and a group of copies costs its
+size and not its square.
 """
 
 from __future__ import annotations
@@ -34,36 +44,66 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfold.llm.batches import slices
+from nearfold.llm.batches import ragged, slices
 from nearfold.llm.graph import components
 from nearfold.llm.words import SHINGLE, mix, shingle_hashes, word_hashes
 from nearfold.session import Steps, freeze
 
 _U = np.uint64
 RANGES = 1 << 12
-ENTRIES_PER_BUCKET = 1_500_000
+LEAST = 2
+ENTRIES_PER_BUCKET = 3_000_000
 FLUSH = 2_000_000
 PAIRS_PER_GROUP = 64
+#: Sets of one task and entry that travel besides the pivot; if more are left, the pivot stands for all.
+UNLIKE = 32
+TILE = 2048
+ROWS_PER_TASK = 20_000
 
 
 def band(n: int) -> int:
-    return (n.bit_length() - 1) // 2
+    return n.bit_length() - 1
 
 
 def segments(b: int) -> int:
-    return max(1, 4 ** (b + 1) // 2)
+    return max(1, 2 ** (b + 1) // 4)
 
 
 def schemes(n: int, percent: int) -> list[tuple[int, int]]:
     """Bands in which a set of `n` shingles takes part, with the most differences to a partner."""
     b, most = band(n), 100 * n // percent
-    top = 4 ** (b + 1) - 1
+    top = 2 ** (b + 1) - 1
     found = [(b, (100 - percent) * (n + min(most, top)) // (100 + percent))]
     if most > top:
         found.append((b + 1, (100 - percent) * (n + most) // (100 + percent)))
     return found
 
 
+def sketches(shingles: np.ndarray, percent: int) -> list[bytes]:
+    """Parity sketches of a set for each of its bands, with a bit per shingle of the largest set."""
+    out = []
+    for b, _ in schemes(len(shingles), percent):
+        bits = 2 ** (b + 1)
+        odd = np.bincount((shingles & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+        out.append(np.packbits(odd.astype(bool)).tobytes())
+    return out
+
+
+def alike(n: int, own: list[int], p: int, other: list[int], percent: int) -> bool:
+    """Whether two sets of these sizes and sketches (as numbers) may be similar."""
+    if 100 * min(n, p) < percent * max(n, p):
+        return False
+    b = band(max(n, p))
+    k, j = b - band(n), b - band(p)
+    if k >= len(own) or j >= len(other):
+        return False
+    return (own[k] ^ other[j]).bit_count() <= (100 - percent) * (n + p) // (100 + percent)
+
+
+def _number(sketch: bytes) -> int:
+    return int.from_bytes(sketch, "little")
+
+
 def digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
@@ -80,7 +120,7 @@ def _describe(percent: int):
     """One row per document, and rows with the counts of this task: `band, range, hits`."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_shingles", "key", "band", "range", "hits"]
+        names = ["row", "doc_id", "n_shingles", "key", "low", "high", "band", "range", "hits"]
         hits: dict[int, np.ndarray] = {}
         seen: set[bytes] = set()
         kind = pa.int64()
@@ -94,12 +134,16 @@ def _describe(percent: int):
                 spots = np.bincount((s >> _U(52)).astype(np.int64), minlength=RANGES)
                 for b, _ in schemes(len(s), percent):
                     hits[b] = hits[b] + spots if b in hits else spots
+            drawn = [sketches(s, percent) if len(s) else [] for s in sets]
             none = pa.nulls(len(raws), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).cast(pa.int64()),
+                    batch.column(0),
+                    batch.column(1),
                     pa.array([len(s) for s in sets], kind),
                     pa.array(keys, pa.binary()),
+                    pa.array([x[0] if x else None for x in drawn], pa.binary()),
+                    pa.array([x[1] if len(x) > 1 else None for x in drawn], pa.binary()),
                     none,
                     none,
                     pa.nulls(len(raws), kind),
@@ -110,9 +154,8 @@ def _describe(percent: int):
             at = np.flatnonzero(spots)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.nulls(len(at), kind),
-                    pa.nulls(len(at), kind),
-                    pa.nulls(len(at), pa.binary()),
+                    *[pa.nulls(len(at), kind)] * 3,
+                    *[pa.nulls(len(at), pa.binary())] * 3,
                     pa.array(np.full(len(at), b), pa.int32()),
                     pa.array(at, pa.int32()),
                     pa.array(spots[at], kind),
@@ -134,21 +177,24 @@ def allot(hits: np.ndarray, b: int, percent: int) -> tuple[np.ndarray, np.ndarra
     order = np.argsort(cost, kind="stable")
     rank = np.empty(parts, dtype=np.int64)
     rank[order] = np.arange(parts)
-    cheap = order[: int((cost <= 2 * np.median(cost)).sum())]
-    # Of the largest sets, each segment holds Poisson(2) shingles.
-    top = 4 ** (b + 1) - 1
-    need = (100 - percent) * 2 * top // (100 + percent) + 1
-    lacking = need - len(cheap) / parts * m * (1 - np.exp(-2.0))
+    # The least and the greatest sets of the band; a segment's subset is Poisson-distributed.
+    needs = []
+    for n in (2**b, 2 ** (b + 1) - 1):
+        most = next(h for scheme, h in schemes(n, percent) if scheme == b)
+        mean = n / m
+        none, one, two = (np.exp(-mean) * mean**k / (1, 1, 2)[k] for k in range(3))
+        single, double = m * (1 - none - one), m * (1 - none - one - two)
+        needs.append((most + 1 - single) / max(double, 1e-9))
+    share = min(max(max(needs) * 1.1 + 1.0 / np.sqrt(m), 0.0), 1.0)
     credit = np.ones(parts, dtype=np.int64)
-    if lacking > 0:
-        pairs = m / parts * (1 - 3 * np.exp(-2.0))
-        credit[cheap[: int(np.ceil(lacking / pairs))]] = 2
+    credit[order[: int(np.ceil(share * parts))]] = 2
     return rank, credit
 
 
 def entries(shingles: np.ndarray, plan: dict[int, tuple[np.ndarray, np.ndarray]], percent: int) -> np.ndarray:
-    """Index entries of one set: hashes of segment subsets and of their one-deletion neighbours."""
+    """Index entries of one set, even for subsets themselves and odd for one-deletion neighbours."""
     found = []
+    even = ~_U(1)
     values = mix(shingles ^ _U(0xD6E8FEB86659FD93))
     for b, most in schemes(len(shingles), percent):
         m = segments(b)
@@ -158,36 +204,36 @@ def entries(shingles: np.ndarray, plan: dict[int, tuple[np.ndarray, np.ndarray]]
         sizes = np.diff(np.append(first, len(at)))
         seg = at[first]
         part = (seg.astype(np.int64) * len(rank)) // m
-        sums = np.add.reduceat(values, first)
-        tag = mix(seg * _U(64) + _U(b))
+        worth = np.where(sizes > LEAST, credit[part], (sizes == LEAST).astype(np.int64))
         order = np.lexsort((seg, rank[part]))
-        worth = np.where(sizes >= 2, credit[part], 1)
         paid = np.cumsum(worth[order])
         taken = order[: int(np.searchsorted(paid, most + 1)) + 1]
-        found.append(mix(sums[taken] ^ tag[taken]))
-        for k in taken[worth[taken] == 2].tolist():
-            rest = sums[k] - values[first[k] : first[k] + sizes[k]]
-            found.append(mix(rest ^ tag[k]))
+        taken = taken[worth[taken] > 0]
+        sums = np.add.reduceat(values, first)
+        tag = mix(seg * _U(64) + _U(b))
+        found.append(mix(sums[taken] ^ tag[taken]) & even)
+        double = taken[worth[taken] == 2]
+        each = np.repeat(double, sizes[double])
+        rest = sums[each] - values[ragged(first[double], sizes[double])]
+        found.append(mix(rest ^ tag[each]) | _U(1))
         if paid[-1] <= most:
-            found.append(mix(shingles[: most + 1] ^ _U(0xA0761D6478BD642F + b)))
+            found.append(mix(shingles[: most + 1] ^ _U(0xA0761D6478BD642F + b)) & even)
     return np.concatenate(found)
 
 
-def _pivots(
-    sigs: np.ndarray, dids: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct entries with their least set, and stars `pivot, member` of entries with several.
+def _groups(sigs: np.ndarray, dids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows sorted by entry, subsets themselves first, and the runs of equal entries.
 
-    Also the start and size of each entry's run in the sorted, distinct rows.
+    An entry is even where it is a subset and odd where it is a neighbour of one.
     """
     order = np.lexsort((dids, sigs))
     sigs, dids = sigs[order], dids[order]
     fresh = np.ones(len(sigs), dtype=bool)
     fresh[1:] = (sigs[1:] != sigs[:-1]) | (dids[1:] != dids[:-1])
     sigs, dids = sigs[fresh], dids[fresh]
-    first = np.flatnonzero(np.concatenate([[True], sigs[1:] != sigs[:-1]])) if len(sigs) else np.zeros(0, int)
-    sizes = np.diff(np.append(first, len(sigs)))
-    return sigs, dids, first, sizes, np.repeat(dids[first], sizes)
+    name = sigs >> sigs.dtype.type(1)
+    first = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]])) if len(sigs) else np.zeros(0, int)
+    return sigs, dids, first, np.diff(np.append(first, len(sigs)))
 
 
 def _edges(pivots: np.ndarray, members: np.ndarray) -> np.ndarray:
@@ -198,33 +244,49 @@ def _edges(pivots: np.ndarray, members: np.ndarray) -> np.ndarray:
 def _index(plan: dict[int, tuple[np.ndarray, np.ndarray]], buckets: int, percent: int):
     """Packed entries per bucket, and under negative buckets the stars found within the task."""
 
-    def flush(sigs: list[np.ndarray], dids: list[int], counts: list[int]) -> Iterator[pa.RecordBatch]:
+    def flush(sigs: list[np.ndarray], sets: dict[int, tuple[int, list[int]]]) -> Iterator[pa.RecordBatch]:
         s = np.concatenate(sigs)
-        d = np.repeat(np.array(dids, dtype=np.int64), counts)
-        s, d, first, _, pivots = _pivots(s, d)
-        star = _edges(pivots, d)
-        s, d = s[first], d[first]
-        where = ((s >> _U(32)) * _U(buckets)) >> _U(32)
+        d = np.repeat(np.fromiter(sets, dtype=np.int64, count=len(sets)), [len(x) for x in sigs])
+        s, d, first, sizes = _groups(s, d)
+        travels = np.ones(len(s), dtype=bool)
+        stands: dict[tuple[int, int], bool] = {}
+        several = (sizes > 1) & ((s[first] & _U(1)) == 0)  # two neighbours of a subset tell nothing
+        for a, size in zip(first[several].tolist(), sizes[several].tolist(), strict=True):
+            pivot, *others = d[a : a + size].tolist()
+            for x in others:
+                if (pivot, x) not in stands:
+                    stands[pivot, x] = x == pivot or alike(*sets[pivot], *sets[x], percent)
+            unlike = [not stands[pivot, x] for x in others]
+            if sum(unlike) > UNLIKE:
+                stands.update(((pivot, x), True) for x in others)
+                unlike = [False] * len(others)
+            travels[a + 1 : a + size] = unlike
+        star = np.array([p for p, is_like in stands.items() if is_like and p[0] != p[1]], dtype=np.int64)
+        star = star.reshape(-1, 2)
+        s, d = s[travels], d[travels]
+        where = (((s >> _U(32)) * _U(buckets)) >> _U(32)).astype(np.int64)
+        order = np.lexsort((d, where))
+        s, d, where = s[order].astype(np.uint32), d[order], where[order]
         ends = np.searchsorted(where, np.arange(buckets + 1))
-        low = s.astype(np.uint32)
-        rows = [
-            (k, low[a:z].tobytes(), d[a:z].tobytes())
-            for k, (a, z) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
-            if a < z
-        ]
+        rows = []
+        for k, (a, z) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+            if a < z:  # a set once, with the number of its entries
+                at = np.flatnonzero(np.concatenate([[True], d[a + 1 : z] != d[a : z - 1]]))
+                counts = np.diff(np.append(at, z - a)).astype(np.uint32)
+                rows.append((k, s[a:z].tobytes(), d[a:z][at].tobytes(), counts.tobytes()))
         spread = star[:, 0] % buckets if len(star) else star
         for k in np.unique(spread).tolist():
             mine = star[spread == k]
-            rows.append((-1 - k, mine[:, 0].tobytes(), mine[:, 1].tobytes()))
+            rows.append((-1 - k, mine[:, 0].tobytes(), mine[:, 1].tobytes(), b""))
+        kinds = (pa.int32(), *[pa.binary()] * 3)
         for at in range(0, len(rows), 64):
             part = list(zip(*rows[at : at + 64], strict=True))
-            kinds = (pa.int32(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(part, kinds, strict=True)], ["bucket", "sigs", "dids"]
+                [pa.array(x, t) for x, t in zip(part, kinds, strict=True)], ["bucket", "sigs", "dids", "counts"]
             )
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, dids, counts, held = [], [], [], 0
+        sigs, sets, held = [], {}, 0
         seen: set[bytes] = set()
         for _, raws in slices(batches, "text"):
             for s in _sets(raws):
@@ -234,16 +296,17 @@ def _index(plan: dict[int, tuple[np.ndarray, np.ndarray]], buckets: int, percent
                 if key in seen:
                     continue
                 seen.add(key)
-                found = entries(s, plan, percent)
-                sigs.append(found)
-                dids.append(short_digest(key))
-                counts.append(len(found))
-                held += len(found)
+                if short_digest(key) in sets:  # two sets with one short digest stay apart
+                    yield from flush(sigs, sets)
+                    sigs, sets, held = [], {}, 0
+                sigs.append(entries(s, plan, percent))
+                sets[short_digest(key)] = (len(s), [_number(x) for x in sketches(s, percent)])
+                held += len(sigs[-1])
             if held > FLUSH:
-                yield from flush(sigs, dids, counts)
-                sigs, dids, counts, held = [], [], [], 0
+                yield from flush(sigs, sets)
+                sigs, sets, held = [], {}, 0
         if held:
-            yield from flush(sigs, dids, counts)
+            yield from flush(sigs, sets)
 
     return index
 
@@ -251,8 +314,8 @@ def _index(plan: dict[int, tuple[np.ndarray, np.ndarray]], buckets: int, percent
 def _meet(key: tuple, group: pa.Table) -> pa.Table:
     """Stars and entry groups of one bucket.
 
-    Rows `a, b` with kind 0 are stars over tasks, 1 stars within a task, 2 the pivots `b` of the
-    entry group `a`.
+    Rows `a, b` with kind 0 are stars over tasks, 1 stars within a task; with kind 2 and 3 `b` is a
+    member of the entry group `a`, by its subset itself or by a neighbour of it.
     """
     if key[0].as_py() < 0:
         both = [
@@ -261,24 +324,27 @@ def _meet(key: tuple, group: pa.Table) -> pa.Table:
         ]
         pairs = np.unique(np.stack(both, axis=1), axis=0)
         return _rows([(1, pairs)])
-    sigs = np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in group.column("sigs").to_pylist()])
-    dids = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in group.column("dids").to_pylist()])
-    sigs, dids, first, sizes, pivots = _pivots(sigs, dids)
-    several = np.repeat(sizes > 1, sizes)
+    sigs, dids, counts = (
+        np.concatenate([np.frombuffer(x, dtype=t) for x in group.column(c).to_pylist()])
+        for c, t in (("sigs", np.uint32), ("dids", np.int64), ("counts", np.uint32))
+    )
+    sigs, dids, first, sizes = _groups(sigs, np.repeat(dids, counts))
+    several = (sizes > 1) & ((sigs[first] & 1) == 0)
     if not several.any():
         return _rows([])
+    rows = np.repeat(several, sizes)
+    odd, dids, sizes = (sigs[rows] & 1).astype(np.int64), dids[rows], sizes[several]
     # Entries with the same sets are one group, named by a hash of the sets.
-    dids, pivots = dids[several], pivots[several]
-    sizes = sizes[sizes > 1]
     first = np.cumsum(sizes) - sizes
-    names = mix(np.add.reduceat(mix(dids.view(_U)), first) + sizes.astype(_U))
+    names = mix(np.add.reduceat(mix(dids.view(_U) ^ odd.astype(_U)), first) + sizes.astype(_U))
     _, keep = np.unique(names, return_index=True)
     chosen = np.zeros(len(sizes), dtype=bool)
     chosen[keep] = True
     rows = np.repeat(chosen, sizes)
+    pivots = np.repeat(dids[first], sizes)
     names = np.repeat(names, sizes)[rows].view(np.int64)
-    groups = np.stack([names, dids[rows]], axis=1)
-    return _rows([(0, _edges(pivots[rows], dids[rows])), (2, groups)])
+    groups, odd = np.stack([names, dids[rows]], axis=1), odd[rows]
+    return _rows([(0, _edges(pivots[rows], dids[rows])), (2, groups[odd == 0]), (3, groups[odd == 1])])
 
 
 def _rows(parts: list[tuple[int, np.ndarray]]) -> pa.Table:
@@ -309,6 +375,99 @@ def _verify(percent: int):
     return verify
 
 
+def _thin(percent: int):
+    """Of rows `a, b, n_a, n_b` and sketches the pairs that may be similar."""
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b, *bits = (batch.column(k).to_pylist() for k in range(2, 8))
+            low_a, high_a, low_b, high_b = ([_number(x) if x else None for x in c] for c in bits)
+            keep = [
+                alike(n, [x for x in (la, ha) if x is not None], p, [x for x in (lb, hb) if x is not None], percent)
+                for n, p, la, ha, lb, hb in zip(n_a, n_b, low_a, high_a, low_b, high_b, strict=True)
+            ]
+            rows = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1)], ["a", "b"])
+
+    return thin
+
+
+def _words(sketches: list[bytes]) -> np.ndarray:
+    """Sketches of one length as rows of 64-bit words."""
+    width = max(8, len(sketches[0]))
+    return np.frombuffer(b"".join(x.ljust(width, b"\0") for x in sketches), dtype="<u8").reshape(len(sketches), -1)
+
+
+class _Members:
+    """The sets of one tile: sizes, components, bands and sketches, by their place."""
+
+    def __init__(self, n: list[int], comp: list[int], low: list[bytes], high: list[bytes | None], percent: int) -> None:
+        self.n, self.comp, self.low, self.high, self.percent = np.array(n), np.array(comp), low, high, percent
+        self.bands = np.array([band(x) for x in n])
+
+    def pairs(self, left: np.ndarray, right: np.ndarray, odd: np.ndarray, other: np.ndarray) -> Iterator[np.ndarray]:
+        """Pairs of places that lie in different components and may be similar.
+
+        `odd` and `other` say which sides hold their entry as a neighbour; two of them tell nothing.
+        """
+        for b in np.unique(self.bands[left]).tolist():
+            one = np.flatnonzero(self.bands[left] == b)
+            for step, mine, theirs in ((0, self.low, self.low), (1, self.high, self.low), (-1, self.low, self.high)):
+                x = one[[mine[k] is not None for k in left[one].tolist()]] if step == 1 else one
+                two = np.flatnonzero(self.bands[right] == b + step)
+                if step == -1 and len(two):
+                    two = two[[theirs[k] is not None for k in right[two].tolist()]]
+                if len(x) and len(two):
+                    yield from self._near(left[x], right[two], odd[x], other[two], mine, theirs)
+
+    def _near(self, left, right, odd, other, mine, theirs) -> Iterator[np.ndarray]:
+        table = _words([theirs[k] for k in right.tolist()])
+        rows = _words([mine[k] for k in left.tolist()])
+        n, comp = self.n[right], self.comp[right]
+        for row, k, is_odd in zip(rows, left.tolist(), odd.tolist(), strict=True):
+            m = int(self.n[k])
+            fits = (comp != self.comp[k]) & (100 * np.minimum(n, m) >= self.percent * np.maximum(n, m))
+            if is_odd:
+                fits &= ~other
+            some = np.flatnonzero(fits)
+            if len(some):
+                gap = np.bitwise_count(table[some] ^ row).sum(axis=1)
+                near = some[gap <= (100 - self.percent) * (n[some] + m) // (100 + self.percent)]
+                if len(near):
+                    yield np.stack([np.full(len(near), k), right[near]], axis=1)
+
+
+def _mixed_pairs(percent: int):
+    def mixed_pairs(key: tuple, group: pa.Table) -> pa.Table:
+        """Pairs of one tile that lie in different components and may be similar."""
+        i, j = key[2].as_py(), key[3].as_py()
+        node, first = np.unique(group.column("node").to_numpy(), return_index=True)
+        once = group.take(pa.array(first))
+        members = _Members(*(once.column(c).to_pylist() for c in ("n", "comp", "low", "high")), percent)
+        place = np.searchsorted(node, group.column("node").to_numpy())
+        names, block = group.column("grp").to_numpy(), group.column("block").to_numpy()
+        odd = group.column("odd").to_numpy(zero_copy_only=False)
+        order = np.argsort(names, kind="stable")
+        ends = np.flatnonzero(np.append(names[order][1:] != names[order][:-1], True)) + 1
+        found = [np.zeros((0, 2), dtype=np.int64)]
+        for a, z in zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True):
+            rows = order[a:z]
+            left, right = rows[block[rows] == i], rows[block[rows] == j]
+            # Of two sets in different components one is outside the most frequent component.
+            comps, counts = np.unique(members.comp[place[rows]], return_counts=True)
+            most = comps[np.argmax(counts)]
+            away, there = (members.comp[place[x]] != most for x in (left, right))
+            near = []
+            for x, y in ((left[away], right), (right[there], left[~away])):
+                near += members.pairs(place[x], place[y], odd[x], odd[y])
+            if near:
+                found.append(np.unique(np.sort(node[np.concatenate(near)], axis=1), axis=0))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return mixed_pairs
+
+
 def _keep_own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows `node, key, text` whose text has the key; an id may stand for several texts."""
     for batch, raws in slices(batches, "text"):
@@ -325,10 +484,11 @@ class JaccardJoin:
         self.docs, self.percent, self.steps = docs, percent, steps
 
     def describe(self) -> None:
-        schema = "doc_id bigint, n_shingles bigint, key binary, band int, range int, hits bigint"
-        texts = self.docs.select("doc_id", "text")
+        schema = "row bigint, doc_id bigint, n_shingles bigint, key binary, low binary, high binary, band int, range int, hits bigint"
+        texts = self.docs.select("row", "doc_id", "text")
         seen = self.steps.freeze(texts.mapInArrow(_describe(self.percent), schema), "described")
-        self.rows = seen.filter("band is null").select("doc_id", "n_shingles", "key")
+        described = seen.filter("band is null")
+        self.rows = described.select("row", "doc_id", "n_shingles", "key")
         counted = seen.filter("band is not null").groupBy("band", "range").agg(F.sum("hits").alias("hits"))
         hits: dict[int, np.ndarray] = {}
         for r in counted.collect():  # at most RANGES rows for each of about 20 bands
@@ -336,8 +496,11 @@ class JaccardJoin:
         self.plan = {b: allot(h, b, self.percent) for b, h in hits.items()}
         self.total = int(sum(h.sum() for h in hits.values()))
         # A key has one size; the least id is the one whose text is fetched.
-        distinct = self.rows.filter("key is not null").groupBy("key").agg(
-            F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n")
+        distinct = described.filter("key is not null").groupBy("key").agg(
+            F.min("doc_id").alias("doc_id"),
+            F.min("n_shingles").alias("n"),
+            F.min("low").alias("low"),
+            F.min("high").alias("high"),
         )
         self.nodes = self.steps.freeze(
             distinct.withColumn("node", F.monotonically_increasing_id()).withColumn("did", _short("key")),
@@ -345,28 +508,26 @@ class JaccardJoin:
         )
 
     def index(self) -> None:
-        buckets = max(16, -(-self.total * 2 // (5 * ENTRIES_PER_BUCKET)))
+        buckets = max(16, -(-self.total * 2 // (3 * ENTRIES_PER_BUCKET)))
         packed = self.docs.select("text").mapInArrow(
-            _index(self.plan, buckets, self.percent), "bucket int, sigs binary, dids binary"
+            _index(self.plan, buckets, self.percent), "bucket int, sigs binary, dids binary, counts binary"
         )
         met = packed.groupBy("bucket").applyInArrow(_meet, "kind int, a bigint, b bigint")
         met = self.steps.freeze(met, "met")
         self.stars = met.filter("kind < 2").select("a", "b").distinct()
         self.within = met.filter("kind = 1").select("a", "b").distinct()
-        self.groups = met.filter("kind = 2").select(F.col("a").alias("grp"), F.col("b").alias("p")).distinct()
+        members = met.filter("kind >= 2").groupBy(F.col("a").alias("grp"), F.col("b").alias("p"))
+        self.groups = members.agg((F.min("kind") == 3).alias("odd"))
 
     def to_nodes(self, pairs: DataFrame) -> DataFrame:
-        """Pairs of short digests as pairs of nodes whose sizes allow the similarity."""
-        near = pairs
+        """Pairs of short digests as pairs of nodes whose sizes and sketches allow the similarity."""
         for side in ("a", "b"):
-            node = self.nodes.select(
-                F.col("did").alias(side), F.col("node").alias(f"node_{side}"), F.col("n").alias(f"n_{side}")
-            )
-            near = near.join(node, side)
+            columns = [F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "low", "high")]
+            pairs = pairs.join(self.nodes.select(F.col("did").alias(side), *columns), side)
         fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent
-        return near.filter(fits & F.expr("node_a <> node_b")).select(
-            F.col("node_a").alias("a"), F.col("node_b").alias("b")
-        )
+        columns = ["node_a", "node_b", "n_a", "n_b", "low_a", "high_a", "low_b", "high_b"]
+        near = pairs.filter(fits & F.expr("node_a <> node_b")).select(*columns)
+        return near.mapInArrow(_thin(self.percent), "a bigint, b bigint")
 
     def verify(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs of nodes whose sets are similar, found on the words themselves."""
@@ -398,29 +559,48 @@ class JaccardJoin:
         return self.steps.freeze(met.applyInArrow(_verify(self.percent), "a bigint, b bigint"), f"{name}-links")
 
     def cross_pairs(self, found: DataFrame) -> DataFrame:
-        """Pairs of short digests that share an entry and lie in different components so far."""
-        comp = (
-            self.nodes.join(found, "node", "left")
-            .select("did", F.coalesce("component", "node").alias("comp"))
-            .groupBy("did")
-            .agg(F.min("comp").alias("comp"), F.max("comp").alias("other"))
-        )
+        """Pairs of nodes that share an entry, may be similar and lie in different components so far."""
+        placed = self.nodes.join(found, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+        placed = self.steps.freeze(placed.select("did", "node", "n", "low", "high", "comp"), "placed-nodes")
+        # Each pivot with itself and those it stands for.
         pivots = self.groups.select("p").unionByName(self.within.select(F.col("a").alias("p"))).distinct()
         members = self.within.select(F.col("a").alias("p"), F.col("b").alias("did"))
         members = members.unionByName(pivots.select("p", F.col("p").alias("did")))
-        members = self.steps.freeze(members.join(comp, "did"), "members")
-        span = members.groupBy("p").agg(F.min("comp").alias("lo"), F.max("other").alias("hi"))
-        grouped = self.groups.unionByName(pivots.select(F.col("p").alias("grp"), "p")).join(span, "p")
-        mixed = grouped.groupBy("grp").agg(F.min("lo").alias("x"), F.max("hi").alias("y")).filter("x <> y")
-        grouped = self.steps.freeze(grouped.join(mixed.select("grp"), "grp", "left_semi"), "mixed")
-        one = grouped.select("grp", F.col("p").alias("p"), F.col("lo").alias("lo"), F.col("hi").alias("hi"))
-        two = grouped.select("grp", F.col("p").alias("q"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
-        apart = (F.col("lo") != F.col("lo2")) | (F.col("lo") != F.col("hi")) | (F.col("lo2") != F.col("hi2"))
-        pivot_pairs = one.join(two, "grp").filter((F.col("p") <= F.col("q")) & apart).select("p", "q").distinct()
-        left = members.select("p", F.col("did").alias("x"), F.col("comp").alias("cx"))
-        right = members.select(F.col("p").alias("q"), F.col("did").alias("y"), F.col("comp").alias("cy"))
-        pairs = pivot_pairs.join(left, "p").join(right, "q").filter("cx <> cy and x <> y")
-        return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        comps = placed.select("did", "node", "comp")
+        members = self.steps.freeze(members.join(comps, "did").select("p", "node", "comp"), "members")
+        span = members.groupBy("p").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        alone = pivots.select(F.col("p").alias("grp"), "p", F.lit(False).alias("odd"))
+        grouped = self.groups.select("grp", "p", "odd").unionByName(alone)
+        mixed = grouped.join(span, "p").groupBy("grp").agg(F.min("lo").alias("x"), F.max("hi").alias("y"))
+        mixed = mixed.filter("x <> y").select("grp")
+        rows = grouped.join(mixed, "grp", "left_semi").join(members.select("p", "node"), "p")
+        rows = rows.groupBy("grp", "node").agg(F.min("odd").alias("odd"))
+        rows = self.steps.freeze(rows, "mixed")
+        # Sets that share one entry mostly share many. The groups with one least node are compared as
+        # one group of all their nodes where that is less work, so that few pairs meet twice.
+        sized = rows.groupBy("grp").agg(F.min("node").alias("lead"), F.count("*").alias("size"))
+        led = rows.join(sized.select("grp", "lead"), "grp")
+        apart = sized.groupBy("lead").agg(F.sum(F.col("size") * F.col("size")).alias("apart"))
+        joint = led.select("lead", "node").distinct().groupBy("lead").agg(F.count("*").alias("all"))
+        joint = joint.join(apart, "lead").select("lead", (F.col("all") * F.col("all") <= F.col("apart")).alias("joint"))
+        led = led.join(joint, "lead").withColumn("grp", F.when(F.col("joint"), F.xxhash64("lead")).otherwise(F.col("grp")))
+        rows = self.steps.freeze(led.groupBy("lead", "grp", "node").agg(F.min("odd").alias("odd")), "joined")
+        sized = rows.groupBy("lead", "grp").agg(F.count("*").alias("size"))
+        loads = sized.groupBy("lead").agg(F.ceil(F.sum("size") / ROWS_PER_TASK).alias("parts"))
+        sized = sized.join(loads, "lead").select(
+            "lead", "grp", F.pmod(F.col("grp"), F.col("parts")).alias("part"),
+            F.ceil(F.col("size") / TILE).cast("int").alias("blocks"),
+        )
+        block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        rows = rows.join(sized, ["lead", "grp"]).withColumn("block", block)
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.select(
+            "lead", "part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+            "grp", "block", "odd", "node",
+        )
+        rows = rows.join(placed.drop("did"), "node")
+        met = rows.groupBy("lead", "part", "i", "j").applyInArrow(_mixed_pairs(self.percent), "a bigint, b bigint")
+        return met.distinct()
 
     def solve(self) -> DataFrame:
         """`node, component` of the nodes with links."""
@@ -428,9 +608,7 @@ class JaccardJoin:
         self.index()
         links = self.verify(self.to_nodes(self.stars), "stars")
         found = components(links)
-        more = self.to_nodes(self.cross_pairs(found))
-        more = more.join(links, ["a", "b"], "left_anti")
-        crossed = self.verify(more, "crossed")
+        crossed = self.verify(self.cross_pairs(found), "crossed")
         if crossed.isEmpty():
             return found
         return components(links.unionByName(crossed))
@@ -445,35 +623,53 @@ def _short(column: str) -> Column:
 def similar_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75
 ) -> DataFrame:
-    """`doc_id, n_shingles, component_id` for every row of `docs`.
+    """`doc_id, n_shingles, component_id, row, kept` for every row of `docs`.
 
     Words are runs of bytes other than space and 0x09 to 0x0D after A-Z became a-z; a set holds the
     distinct runs of five words, or all words of a shorter text as one. Two rows link when
     `100 * shared >= percent * union`. Null texts and texts without words have no shingles and link
     with nothing. Rows with equal sets always link. The component's id is its smallest id; an id that
     stands on several rows is one document for this and several rows of the result. A null id stays
-    null as a row's id and counts as an id of a component only if no other is there. Other columns
-    are not read.
+    null as a row's id and counts as an id of a component only if no other is there. `row` is the
+    row's `monotonically_increasing_id`; `kept` is true for one row of each component, of those with
+    its id the first, and for every row without shingles. Other columns are not read.
     """
-    if not 26 <= percent <= 100:
-        raise ValueError("bands fit similarities from 26 to 100 per cent")
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    if not 50 <= percent <= 100:
+        raise ValueError("bands fit similarities from 50 to 100 per cent")
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(id_col).cast("bigint").alias("doc_id"),
+        F.col(text_col).alias("text"),
+    )
     with Steps(docs.sparkSession) as steps:
         join = JaccardJoin(rows, percent, steps)
         found = join.solve()
-        least = (
-            join.nodes.join(found, "node", "left")
-            .withColumn("comp", F.coalesce("component", "node"))
-            .select("key", "doc_id", "comp")
-        )
-        names = least.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-        keyed = least.join(names, "comp").select("key", "component_id")
-        out = (
-            join.rows.join(keyed, "key", "left")
-            .select(
+        comps = join.nodes.join(found, "node", "left").select("key", F.coalesce("component", "node").alias("comp"))
+        placed = steps.freeze(join.rows.join(comps, "key", "left").drop("key"), "placed")
+        order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+        leads = placed.filter("comp is not null").groupBy("comp").agg(F.min(order).alias("lead"))
+        out = placed.join(leads, "comp", "left")
+        alone = F.col("comp").isNull()
+        return freeze(
+            out.select(
                 "doc_id",
                 "n_shingles",
-                F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-            )
+                F.when(alone, F.col("doc_id")).otherwise(F.col("lead.doc_id")).alias("component_id"),
+                "row",
+                (alone | (F.col("row") == F.col("lead.row"))).alias("kept"),
+            ),
+            "similar-groups",
         )
-        return freeze(out, "similar-groups")
+
+
+def one_of_each_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75
+) -> DataFrame:
+    """The rows of `docs` that `similar_groups` keeps, with all their columns.
+
+    The rows of `docs` must come in the same order each time, as from files.
+    """
+    gone = similar_groups(docs, id_col, text_col, percent).filter(~F.col("kept")).select(F.col("row").alias("gone"))
+    number = "row_of_" + "_".join(docs.columns)  # a name that no column has
+    numbered = docs.withColumn(number, F.monotonically_increasing_id())
+    return numbered.join(gone, numbered[number] == gone["gone"], "left_anti").drop(number)

@@ -62,7 +62,8 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach r ON r.a = d
 GROUP BY d.doc_id, n.n"""
 )
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_groups(table(spark, sf_dir, "documents"))
+    groups = jaccard.similar_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "n_shingles", "component_id")
 
 
 @query()
@@ -138,8 +139,8 @@ lines AS (SELECT k, i, length(replace(regexp_extract(line, '^((?:> ?)+)', 1), '
                  regexp_replace(line, '^((?:> ?)+)', '') AS body FROM raw),
 edge AS (SELECT *, CASE WHEN depth = lag(depth) OVER (PARTITION BY k ORDER BY i) THEN 0 ELSE 1 END AS e FROM lines),
 run AS (SELECT *, sum(e) OVER (PARTITION BY k ORDER BY i) AS p FROM edge),
-own AS (SELECT k, regexp_replace(string_agg(body, chr(10) ORDER BY i), '^[ 	
-]+|[ 	
+own AS (SELECT k, regexp_replace(string_agg(body, chr(10) ORDER BY i), '^[ 	
+]+|[ 	
 ]+$', '', 'g') AS content
         FROM lines WHERE depth = 0 GROUP BY k),
 unit AS (

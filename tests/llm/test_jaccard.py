@@ -50,7 +50,10 @@ def key(row):
 
 def run(spark, rows, percent=75, parts=4):
     df = spark.createDataFrame([(d, t, "x", 1, "y") for d, t in rows], SCHEMA).repartition(parts)
-    return sorted((tuple(r) for r in jaccard.similar_groups(df, percent=percent).collect()), key=key)
+    found = jaccard.similar_groups(df, percent=percent).collect()
+    kept = {(r.component_id, r.row) for r in found if r.kept and r.n_shingles}
+    assert {c for c, _ in kept} == {r.component_id for r in found if r.n_shingles}
+    return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=key)
 
 
 def test_words_and_shingles(documents):
@@ -101,11 +104,30 @@ def test_odd_rows(spark):
     assert run(spark, rows) == sorted(brute(rows), key=key)
 
 
+def test_one_of_each_group(spark, tmp_path):
+    rows = [(3, "a b c d e f"), (2, "A b c d e f"), (2, "a b c d e f"), (None, "x y z"), (None, "X y z"), (1, None), (1, "")]
+    rows += [(9, "p q r s t u")]
+    df = spark.createDataFrame([(d, t, "x", 1, "y") for d, t in rows], SCHEMA)
+    df.repartition(3).write.parquet(str(tmp_path / "rows"))
+    docs = spark.read.parquet(str(tmp_path / "rows"))
+    kept = jaccard.one_of_each_group(docs)
+    assert kept.schema == docs.schema
+    found = sorted(((r.doc_id, (r.text or "").lower()) for r in kept.collect()), key=str)
+    assert found == sorted([(2, "a b c d e f"), (None, "x y z"), (1, ""), (1, ""), (9, "p q r s t u")], key=str)
+
+
 def test_nothing(spark):
     assert run(spark, []) == []
     assert run(spark, [(1, None), (2, "")]) == [(1, 0, 1), (2, 0, 2)]
 
 
+@pytest.mark.parametrize("unlike, tile", [(0, 2048), (1, 3)])
+def test_entries_of_unlike_sets(spark, monkeypatch, unlike, tile):
+    monkeypatch.setattr(jaccard, "UNLIKE", unlike)
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    test_random_edits(spark, 75)
+
+
 def test_large_group_of_near_copies(spark):
     """Each text differs from each other; two halves link through one text only."""
     base = [f"b{k}" for k in range(120)]
@@ -119,7 +141,9 @@ def test_large_group_of_near_copies(spark):
     assert run(spark, rows, parts=7) == sorted(brute(rows), key=key)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("part", [500_000, 20])
+def test_components(spark, monkeypatch, part):
+    monkeypatch.setattr("nearfold.llm.graph.PART_LINKS", part)
     rng = random.Random(4)
     pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)]
     pairs += [(1000 + k, 1001 + k) for k in range(70)] + [(5, None)]
