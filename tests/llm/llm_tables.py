@@ -1,3 +1,5 @@
+"""Fixtures over the supplied tables, for the test modules of this folder to import."""
+
 import duckdb
 import pytest
 

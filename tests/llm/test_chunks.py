@@ -5,6 +5,7 @@ import random
 import tempfile
 
 import numpy as np
+from llm_tables import documents, duck  # noqa: F401
 
 from nearfold.llm import chunks, queries
 

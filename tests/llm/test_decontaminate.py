@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+from llm_tables import documents, duck  # noqa: F401
 
 from nearfold.llm import decontaminate, queries
 from nearfold.llm.decontaminate import MIN_WORDS, Items, matches

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from llm_tables import documents, duck  # noqa: F401
 
 from nearfold.llm import jaccard, queries
 from nearfold.llm.graph import components

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from llm_tables import documents, duck  # noqa: F401
 
 from nearfold.llm import queries, suffix
 

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from llm_tables import documents, duck  # noqa: F401
 
 from nearfold.llm import queries, threads
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from llm_tables import documents, duck  # noqa: F401
 
 from nearfold.llm import packing, queries, token_files
 from nearfold.llm.tokens import RunEncoder, default_path
