@@ -552,6 +552,13 @@ def reco_topk_text(spark, sf_dir):
     return topk.cosine_topk(_documents(spark, sf_dir), "doc_id", "text")
 
 
+@query(f"{_topk_sql(_PART_CORPUS)} SELECT * FROM reco WHERE target_id IN (1, 7, 50)")
+def reco_chosen(spark, sf_dir):
+    """A few titles against the whole corpus, which is not ranked for it."""
+    features = recommend.features(_table(spark, sf_dir, "part"), "p_partkey", ["p_name", "p_type", "p_brand"])
+    return shapes.as_long(topk.neighbours_of(features, "p_partkey", "combined_features", [1, 7, 50]))
+
+
 @query(f"{_topk_sql(_PART_CORPUS)} {_wide_sql('target_id')}")
 def reco_wide(spark, sf_dir):
     return shapes.as_wide(_part_lists(spark, sf_dir))

@@ -140,6 +140,21 @@ def test_ids_must_be_unique(spark):
         cosine_topk(df, "id", "text")
 
 
+def test_chosen_targets_get_the_same_lists(spark):
+    texts = {**corpus(11, 40), 900: "", 901: "? !", 902: "zzz alone"}
+    df = spark.createDataFrame(list(texts.items()), "id bigint, text string")
+    every = {r.target_id: r.neighbours for r in neighbour_lists(df, "id", "text", 4).collect()}
+    some = [min(texts), 900, 901, 902, max(corpus(11, 40))]
+    got = {r.target_id: r.neighbours for r in topk.neighbours_of(df, "id", "text", some, 4).collect()}
+    assert got == {t: every[t] for t in some}
+    short = topk.neighbours_of(df, "id", "text", [902], 4, pad_zero=False).first()
+    assert short.neighbours == []
+    with pytest.raises(ValueError, match="unknown"):
+        topk.neighbours_of(df, "id", "text", [5555])
+    with pytest.raises(ValueError, match="at most"):
+        topk.neighbours_of(df, "id", "text", list(range(2000)))
+
+
 def test_plans(spark, monkeypatch):
     """No pair product, no row-wise Python, and the rank limit runs before the shuffle."""
     plans = {}
