@@ -30,8 +30,9 @@ others remain), so no entry gathers more rows than a bound times the number of t
 stars, not pairs: pivot with each other set. Stars are verified on the words themselves and linked
 into components. Only where sets that share an entry still lie in different components are
 their sketches compared pair by pair, within a task and in tiles of bounded size; pairs inside a
-component can change nothing. So no link between components is lost, and a group of copies costs its
-size and not its square.
+component can change nothing. Of the pairs that the sketches allow, each set's nearest are verified
+first and components joined, then more of what still lies apart, and last all of it. So no link
+between components is lost, and a group of copies costs its size and not its square.
 """
 
 from __future__ import annotations
@@ -59,6 +60,8 @@ PAIRS_PER_GROUP = 64
 UNLIKE = 32
 TILE = 2048
 ROWS_PER_TASK = 20_000
+#: Partners of a set that are verified in one round; 0 is all, and comes last.
+ROUNDS = (8, 0)
 
 
 def band(n: int) -> int:
@@ -312,10 +315,10 @@ def _index(plan: dict[int, tuple[np.ndarray, np.ndarray]], buckets: int, percent
 
 
 def _meet(key: tuple, group: pa.Table) -> pa.Table:
-    """Stars and entry groups of one bucket.
+    """Stars of one bucket.
 
-    Rows `a, b` with kind 0 are stars over tasks, 1 stars within a task; with kind 2 and 3 `b` is a
-    member of the entry group `a`, by its subset itself or by a neighbour of it.
+    Rows `a, b` are pivot and member: with kind 0 and 2 over tasks, by the member's subset itself or
+    by a neighbour of it, with kind 1 within a task.
     """
     if key[0].as_py() < 0:
         both = [
@@ -334,17 +337,10 @@ def _meet(key: tuple, group: pa.Table) -> pa.Table:
         return _rows([])
     rows = np.repeat(several, sizes)
     odd, dids, sizes = (sigs[rows] & 1).astype(np.int64), dids[rows], sizes[several]
-    # Entries with the same sets are one group, named by a hash of the sets.
     first = np.cumsum(sizes) - sizes
-    names = mix(np.add.reduceat(mix(dids.view(_U) ^ odd.astype(_U)), first) + sizes.astype(_U))
-    _, keep = np.unique(names, return_index=True)
-    chosen = np.zeros(len(sizes), dtype=bool)
-    chosen[keep] = True
-    rows = np.repeat(chosen, sizes)
     pivots = np.repeat(dids[first], sizes)
-    names = np.repeat(names, sizes)[rows].view(np.int64)
-    groups, odd = np.stack([names, dids[rows]], axis=1), odd[rows]
-    return _rows([(0, _edges(pivots[rows], dids[rows])), (2, groups[odd == 0]), (3, groups[odd == 1])])
+    even = odd == 0
+    return _rows([(0, _edges(pivots[even], dids[even])), (2, _edges(pivots[~even], dids[~even]))])
 
 
 def _rows(parts: list[tuple[int, np.ndarray]]) -> pa.Table:
@@ -401,14 +397,18 @@ def _words(sketches: list[bytes]) -> np.ndarray:
 class _Members:
     """The sets of one tile: sizes, components, bands and sketches, by their place."""
 
-    def __init__(self, n: list[int], comp: list[int], low: list[bytes], high: list[bytes | None], percent: int) -> None:
+    def __init__(
+        self, n: list[int], comp: list[int], low: list[bytes], high: list[bytes | None], percent: int, limit: int
+    ) -> None:
         self.n, self.comp, self.low, self.high, self.percent = np.array(n), np.array(comp), low, high, percent
+        self.limit = limit
+        self.wanted = np.zeros(len(n), dtype=bool)
         self.bands = np.array([band(x) for x in n])
 
     def pairs(self, left: np.ndarray, right: np.ndarray, odd: np.ndarray, other: np.ndarray) -> Iterator[np.ndarray]:
-        """Pairs of places that lie in different components and may be similar.
+        """Pairs of places that lie in different components and may be similar, or each set's nearest.
 
-        `odd` and `other` say which sides hold their entry as a neighbour; two of them tell nothing.
+        All places of such pairs are marked in `wanted`. `odd` and `other` say which sides hold their entry as a neighbour; two of them tell nothing.
         """
         for b in np.unique(self.bands[left]).tolist():
             one = np.flatnonzero(self.bands[left] == b)
@@ -432,18 +432,23 @@ class _Members:
             some = np.flatnonzero(fits)
             if len(some):
                 gap = np.bitwise_count(table[some] ^ row).sum(axis=1)
-                near = some[gap <= (100 - self.percent) * (n[some] + m) // (100 + self.percent)]
+                fits = gap <= (100 - self.percent) * (n[some] + m) // (100 + self.percent)
+                near, gap = some[fits], gap[fits]
                 if len(near):
+                    self.wanted[k] = True
+                    self.wanted[right[near]] = True
+                    if self.limit:
+                        near = near[np.argsort(gap, kind="stable")[: self.limit]]
                     yield np.stack([np.full(len(near), k), right[near]], axis=1)
 
 
-def _mixed_pairs(percent: int):
+def _mixed_pairs(percent: int, limit: int):
     def mixed_pairs(key: tuple, group: pa.Table) -> pa.Table:
-        """Pairs of one tile that lie in different components and may be similar."""
-        i, j = key[2].as_py(), key[3].as_py()
+        """Pairs of one tile to verify, and each set that any allowed pair holds as a pair with itself."""
+        i, j = key[1].as_py(), key[2].as_py()
         node, first = np.unique(group.column("node").to_numpy(), return_index=True)
         once = group.take(pa.array(first))
-        members = _Members(*(once.column(c).to_pylist() for c in ("n", "comp", "low", "high")), percent)
+        members = _Members(*(once.column(c).to_pylist() for c in ("n", "comp", "low", "high")), percent, limit)
         place = np.searchsorted(node, group.column("node").to_numpy())
         names, block = group.column("grp").to_numpy(), group.column("block").to_numpy()
         odd = group.column("odd").to_numpy(zero_copy_only=False)
@@ -462,7 +467,8 @@ def _mixed_pairs(percent: int):
                 near += members.pairs(place[x], place[y], odd[x], odd[y])
             if near:
                 found.append(np.unique(np.sort(node[np.concatenate(near)], axis=1), axis=0))
-        pairs = np.unique(np.concatenate(found), axis=0)
+        wanted = node[members.wanted]
+        pairs = np.concatenate([np.unique(np.concatenate(found), axis=0), np.stack([wanted, wanted], axis=1)])
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return mixed_pairs
@@ -514,13 +520,12 @@ class JaccardJoin:
         )
         met = packed.groupBy("bucket").applyInArrow(_meet, "kind int, a bigint, b bigint")
         met = self.steps.freeze(met, "met")
-        self.stars = met.filter("kind < 2").select("a", "b").distinct()
+        self.stars = met.groupBy("a", "b").agg((F.min("kind") == 2).alias("odd"))
         self.within = met.filter("kind = 1").select("a", "b").distinct()
-        members = met.filter("kind >= 2").groupBy(F.col("a").alias("grp"), F.col("b").alias("p"))
-        self.groups = members.agg((F.min("kind") == 3).alias("odd"))
 
     def to_nodes(self, pairs: DataFrame) -> DataFrame:
         """Pairs of short digests as pairs of nodes whose sizes and sketches allow the similarity."""
+        pairs = pairs.select("a", "b")
         for side in ("a", "b"):
             columns = [F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "low", "high")]
             pairs = pairs.join(self.nodes.select(F.col("did").alias(side), *columns), side)
@@ -529,11 +534,9 @@ class JaccardJoin:
         near = pairs.filter(fits & F.expr("node_a <> node_b")).select(*columns)
         return near.mapInArrow(_thin(self.percent), "a bigint, b bigint")
 
-    def verify(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs of nodes whose sets are similar, found on the words themselves."""
-        pairs = self.steps.freeze(pairs, f"{name}-pairs")
-        wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-        chosen = self.nodes.join(wanted.withColumnRenamed("a", "node"), "node", "left_semi").select(
+    def fetch(self, wanted: DataFrame, name: str) -> DataFrame:
+        """`node, text` for the nodes in `wanted`; one pass over the documents."""
+        chosen = self.nodes.join(wanted.distinct(), "node", "left_semi").select(
             "node", "key", F.col("doc_id").alias("id")
         )
         texts = (
@@ -542,7 +545,10 @@ class JaccardJoin:
             .mapInArrow(_keep_own_text, "node bigint, text binary")
             .dropDuplicates(["node"])
         )
-        texts = self.steps.freeze(texts, f"{name}-texts")
+        return self.steps.freeze(texts, name)
+
+    def verify(self, pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+        """The pairs of nodes whose sets are similar, found on the words themselves."""
         sized = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS_PER_GROUP).cast("int").alias("parts"))
         left = (
             texts.withColumnRenamed("node", "a")
@@ -558,60 +564,84 @@ class JaccardJoin:
         met = left.groupBy("a", "part").cogroup(right.groupBy("a", "part"))
         return self.steps.freeze(met.applyInArrow(_verify(self.percent), "a bigint, b bigint"), f"{name}-links")
 
-    def cross_pairs(self, found: DataFrame) -> DataFrame:
-        """Pairs of nodes that share an entry, may be similar and lie in different components so far."""
+    def tile_mixed_groups(self, found: DataFrame) -> None:
+        """Sets that share an entry with sets of other components so far, dealt to tiles."""
         placed = self.nodes.join(found, "node", "left").withColumn("comp", F.coalesce("component", "node"))
         placed = self.steps.freeze(placed.select("did", "node", "n", "low", "high", "comp"), "placed-nodes")
-        # Each pivot with itself and those it stands for.
-        pivots = self.groups.select("p").unionByName(self.within.select(F.col("a").alias("p"))).distinct()
-        members = self.within.select(F.col("a").alias("p"), F.col("b").alias("did"))
-        members = members.unionByName(pivots.select("p", F.col("p").alias("did")))
+        # A group is a pivot with its star. A member of it that is a pivot within a task stands for
+        # others; these join after groups with one least node, which mostly share their sets, are one.
+        pivots = self.stars.select("a").distinct()
+        star = self.stars.select(F.col("a").alias("grp"), F.col("b").alias("did"), "odd")
+        star = star.unionByName(pivots.select(F.col("a").alias("grp"), F.col("a").alias("did"), F.lit(False).alias("odd")))
+        behind = self.within.select(F.col("a").alias("did"), F.col("b").alias("other"))
         comps = placed.select("did", "node", "comp")
-        members = self.steps.freeze(members.join(comps, "did").select("p", "node", "comp"), "members")
-        span = members.groupBy("p").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        alone = pivots.select(F.col("p").alias("grp"), "p", F.lit(False).alias("odd"))
-        grouped = self.groups.select("grp", "p", "odd").unionByName(alone)
-        mixed = grouped.join(span, "p").groupBy("grp").agg(F.min("lo").alias("x"), F.max("hi").alias("y"))
-        mixed = mixed.filter("x <> y").select("grp")
-        rows = grouped.join(mixed, "grp", "left_semi").join(members.select("p", "node"), "p")
-        rows = rows.groupBy("grp", "node").agg(F.min("odd").alias("odd"))
-        rows = self.steps.freeze(rows, "mixed")
-        # Sets that share one entry mostly share many. The groups with one least node are compared as
-        # one group of all their nodes where that is less work, so that few pairs meet twice.
-        sized = rows.groupBy("grp").agg(F.min("node").alias("lead"), F.count("*").alias("size"))
-        led = rows.join(sized.select("grp", "lead"), "grp")
-        apart = sized.groupBy("lead").agg(F.sum(F.col("size") * F.col("size")).alias("apart"))
-        joint = led.select("lead", "node").distinct().groupBy("lead").agg(F.count("*").alias("all"))
-        joint = joint.join(apart, "lead").select("lead", (F.col("all") * F.col("all") <= F.col("apart")).alias("joint"))
-        led = led.join(joint, "lead").withColumn("grp", F.when(F.col("joint"), F.xxhash64("lead")).otherwise(F.col("grp")))
-        rows = self.steps.freeze(led.groupBy("lead", "grp", "node").agg(F.min("odd").alias("odd")), "joined")
-        sized = rows.groupBy("lead", "grp").agg(F.count("*").alias("size"))
-        loads = sized.groupBy("lead").agg(F.ceil(F.sum("size") / ROWS_PER_TASK).alias("parts"))
-        sized = sized.join(loads, "lead").select(
-            "lead", "grp", F.pmod(F.col("grp"), F.col("parts")).alias("part"),
-            F.ceil(F.col("size") / TILE).cast("int").alias("blocks"),
+        spans = behind.join(comps.select(F.col("did").alias("other"), "comp"), "other")
+        spans = spans.groupBy("did").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        rows = self.steps.freeze(star.join(comps, "did").join(spans, "did", "left"), "grouped")
+        mixed = rows.groupBy("grp").agg(
+            F.min(F.least("comp", "lo")).alias("x"), F.max(F.greatest("comp", "hi")).alias("y"), F.min("node").alias("lead")
         )
-        block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        rows = rows.join(sized, ["lead", "grp"]).withColumn("block", block)
+        rows = rows.join(mixed.filter("x <> y").select("grp", "lead"), "grp")
+        rows = rows.groupBy(F.col("lead").alias("grp"), "did").agg(F.min("odd").alias("odd"))
+        others = rows.join(behind, "did").select("grp", F.col("other").alias("did"), F.lit(False).alias("odd"))
+        rows = rows.select("grp", "did", "odd").unionByName(others).join(comps.select("did", "node"), "did")
+        rows = rows.groupBy("grp", "node").agg(F.min("odd").alias("odd"))
+        rows = self.steps.freeze(rows, "merged")
+        sized = rows.groupBy("grp").agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
+        rows = rows.join(sized, "grp")
+        # Small groups share a task.
+        parts = max(1, -(-rows.count() // ROWS_PER_TASK))
+        rows = rows.withColumn("part", F.pmod(F.xxhash64("grp"), F.lit(parts)))
+        rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         rows = rows.select(
-            "lead", "part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+            "part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
             "grp", "block", "odd", "node",
         )
-        rows = rows.join(placed.drop("did"), "node")
-        met = rows.groupBy("lead", "part", "i", "j").applyInArrow(_mixed_pairs(self.percent), "a bigint, b bigint")
-        return met.distinct()
+        self.tiles = self.steps.freeze(rows.join(placed.drop("did", "comp"), "node"), "tiles")
+
+    def cross_pairs(self, found: DataFrame, limit: int) -> DataFrame:
+        """Pairs of nodes in one tile that may be similar and lie in different components by now.
+
+        With a `limit`, so many of the nearest for each node. Pairs `a = b` name the nodes of all.
+        """
+        comps = self.nodes.select("node").join(found, "node", "left")
+        rows = self.tiles.join(comps.select("node", F.coalesce("component", "node").alias("comp")), "node")
+        mixed = rows.groupBy("grp").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
+        rows = rows.join(mixed.select("grp"), "grp", "left_semi")
+        met = rows.groupBy("part", "i", "j")
+        return met.applyInArrow(_mixed_pairs(self.percent, limit), "a bigint, b bigint").distinct()
 
     def solve(self) -> DataFrame:
         """`node, component` of the nodes with links."""
         self.describe()
         self.index()
-        links = self.verify(self.to_nodes(self.stars), "stars")
+        ends = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        tried = self.steps.freeze(self.to_nodes(self.stars).select(*ends).distinct(), "star-pairs")
+        nodes = tried.select(F.col("a").alias("node")).unionByName(tried.select(F.col("b").alias("node")))
+        texts = self.fetch(nodes, "star-texts")
+        links = self.verify(tried, texts, "star")
         found = components(links)
-        crossed = self.verify(self.cross_pairs(found), "crossed")
-        if crossed.isEmpty():
-            return found
-        return components(links.unionByName(crossed))
+        self.tile_mixed_groups(found)
+        for turn, limit in enumerate(ROUNDS):
+            met = self.steps.freeze(self.cross_pairs(found, limit), f"met-{turn}")
+            if turn == 0:  # later rounds hold no other nodes
+                missing = met.filter("a = b").select(F.col("a").alias("node")).join(texts, "node", "left_anti")
+                missing = self.steps.freeze(missing, "missing")
+                if not missing.isEmpty():
+                    texts = texts.unionByName(self.fetch(missing, "more-texts"))
+            pairs = met.filter("a <> b").join(tried, ["a", "b"], "left_anti")
+            pairs = self.steps.freeze(pairs, f"pairs-{turn}")
+            if pairs.isEmpty():
+                if limit:
+                    continue
+                break
+            more = self.verify(pairs, texts, f"round-{turn}")
+            tried = tried.unionByName(pairs)
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                found = components(links)
+        return found
 
 
 def _short(column: str) -> Column:

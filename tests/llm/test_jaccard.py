@@ -126,6 +126,7 @@ def test_nothing(spark):
 def test_entries_of_unlike_sets(spark, monkeypatch, unlike, tile):
     monkeypatch.setattr(jaccard, "UNLIKE", unlike)
     monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(jaccard, "ROUNDS", (1, 0))
     test_random_edits(spark, 75)
 
 
