@@ -7,7 +7,8 @@ but those next to it, and copies of a passage are cut alike from its first cut o
 shorter than `REACH` bytes, but for the last of a text, and never longer than `LONGEST`.
 
 Chunks with one digest are one chunk: the first, by document id and place, stays. Runs of repeated
-chunks go if they are `SHORTEST_RUN` bytes long, which chance does not reach; a shorter run stays.
+chunks go if they are `SHORTEST_RUN` bytes long, which chance does not reach, or are the whole text,
+however short; a shorter run inside a text stays.
 Digests travel as packed arrays, one a task and digest, so a chunk that a third of the texts hold
 gathers no more entries than there are tasks.
 """
@@ -173,7 +174,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     spans[-1][1] = z
                 else:
                     spans.append([a, z])
-            spans = [s for s in spans if s[1] - s[0] >= SHORTEST_RUN]
+            spans = [s for s in spans if s[1] - s[0] >= min(SHORTEST_RUN, len(raw))]
             at, left = 0, []
             for a, z in spans:
                 left.append(raw[at:a])
@@ -200,7 +201,8 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`doc_id, kept, removed, n_bytes, n_chunks, n_repeats` for every row of `docs`.
 
-    `kept` (binary) is the text's UTF-8 without its removed runs `start, stop`. Of chunks with one
+    `kept` (binary) is the text's UTF-8 without its removed runs `start, stop`; of a text that repeats
+    as a whole nothing is kept, whatever its length. Of chunks with one
     digest the one with the least id (nulls last), and then the first row and place, is no repeat.
     Null texts are empty and have no chunks. Rows that share an id, or are equal in all columns, are
     rows of their own. Other columns are not read. The rows of `docs` must come in the same order
