@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from nearfold.llm.batches import ragged, slices
 from nearfold.llm.words import mix
-from nearfold.session import Steps, freeze
+from nearfold.session import Steps, freeze, number_rows
 
 REACH = 24
 LONGEST = 1024
@@ -205,14 +205,11 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     as a whole nothing is kept, whatever its length. Of chunks with one
     digest the one with the least id (nulls last), and then the first row and place, is no repeat.
     Null texts are empty and have no chunks. Rows that share an id, or are equal in all columns, are
-    rows of their own. Other columns are not read. The rows of `docs` must come in the same order
-    each time, as from files.
+    rows of their own. Other columns are not read. `docs` is read once, numbered and written.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(id_col).alias("doc_id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+    rows = number_rows(
+        docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, int(size / (2 * REACH) / CHUNKS_PER_BUCKET))

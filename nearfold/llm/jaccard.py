@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from nearfold.llm.batches import ragged, slices
 from nearfold.llm.graph import components
 from nearfold.llm.words import SHINGLE, mix, shingle_hashes, word_hashes
-from nearfold.session import Steps, freeze
+from nearfold.session import Steps, freeze, number_rows
 
 _U = np.uint64
 RANGES = 1 << 12
@@ -664,14 +664,19 @@ def similar_groups(
     row's `monotonically_increasing_id`; `kept` is true for one row of each component, of those with
     its id the first, and for every row without shingles. Other columns are not read.
     """
-    if not 50 <= percent <= 100:
-        raise ValueError("bands fit similarities from 50 to 100 per cent")
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.col(text_col).alias("text"),
     )
-    with Steps(docs.sparkSession) as steps:
+    return _grouped_rows(rows, percent)
+
+
+def _grouped_rows(rows: DataFrame, percent: int) -> DataFrame:
+    """`similar_groups` of rows `row, doc_id, text`; the numbers are read once and written."""
+    if not 50 <= percent <= 100:
+        raise ValueError("bands fit similarities from 50 to 100 per cent")
+    with Steps(rows.sparkSession) as steps:
         join = JaccardJoin(rows, percent, steps)
         found = join.solve()
         comps = join.nodes.join(found, "node", "left").select("key", F.coalesce("component", "node").alias("comp"))
@@ -697,9 +702,12 @@ def one_of_each_group(
 ) -> DataFrame:
     """The rows of `docs` that `similar_groups` keeps, with all their columns.
 
-    The rows of `docs` must come in the same order each time, as from files.
+    `docs` is read once, numbered and written.
     """
-    gone = similar_groups(docs, id_col, text_col, percent).filter(~F.col("kept")).select(F.col("row").alias("gone"))
     number = "row_of_" + "_".join(docs.columns)  # a name that no column has
-    numbered = docs.withColumn(number, F.monotonically_increasing_id())
+    numbered = number_rows(docs, number)
+    rows = numbered.select(
+        F.col(number).alias("row"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")
+    )
+    gone = _grouped_rows(rows, percent).filter(~F.col("kept")).select(F.col("row").alias("gone"))
     return numbered.join(gone, numbered[number] == gone["gone"], "left_anti").drop(number)

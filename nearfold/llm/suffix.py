@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from nearfold.llm.batches import ragged, slices
 from nearfold.llm.words import RAW_BYTE_HASH, mix, powers
-from nearfold.session import Steps, freeze
+from nearfold.session import Steps, freeze, number_rows
 
 _U = np.uint64
 WIDTH = 200
@@ -568,13 +568,11 @@ def remove_repeats(
     also starts anywhere else, in another row or the same one; `removed` lists the maximal removed
     runs as `start, stop`. Strings are judged on the input, so all copies lose them. Null texts are
     empty; texts shorter than `width` stay whole. Rows that share an id or are equal in all columns
-    are rows of their own, and null ids stay null. Other columns are not read. The rows of `docs`
-    must come in the same order each time, as from files.
+    are rows of their own, and null ids stay null. Other columns are not read. `docs` is read once,
+    numbered and written.
     """
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(id_col).alias("doc_id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+    rows = number_rows(
+        docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     )
     kind = docs.schema[id_col].dataType.simpleString()
     with Steps(docs.sparkSession) as steps:
@@ -588,10 +586,10 @@ def without_repeats(docs: DataFrame, text_col: str = "text", width: int = WIDTH)
     """All rows of `docs` with their columns, the text cut as `remove_repeats` cuts it.
 
     A character that a cut divides goes as a whole. A null text stays null, and `n_chars`, if there
-    is such a column, is counted anew.
+    is such a column, is counted anew. `docs` is read once, numbered and written.
     """
     names = {c: f"{c}_of_{'_'.join(docs.columns)}" for c in ("row", "spans")}  # names that no column has
-    numbered = docs.withColumn(names["row"], F.monotonically_increasing_id())
+    numbered = number_rows(docs, names["row"])
     rows = numbered.select(F.col(names["row"]).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     with Steps(docs.sparkSession) as steps:
         spans = repeated_spans(rows, steps, width).withColumnRenamed("spans", names["spans"])
