@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearfold.llm import (
-    chunks, decontaminate, embeddings, jaccard, language, packing, quality, suffix, threads, token_files,
+    chunks, decontaminate, embeddings, jaccard, language, manifest, packing, quality, suffix, threads, token_files,
 )
 from nearfold.llm.batches import id_remainder, table
 from nearfold.session import new_folder
@@ -123,10 +123,6 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _removed_bytes() -> Column:
-    return F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
-
-
 _NORMAL_SQL = r"trim(regexp_replace(lower({}), '[ \t\r\f\n]+', ' ', 'g'))"
 
 
@@ -173,3 +169,67 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+_LEAF_SQL = "sha256(concat(" + ", ".join(
+    f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    for c in ("doc_id", "source", "lang", "{n}", "text")
+) + "))"
+#: The checksum of the id, bit by bit: the polynomial shifts in once for each bit of each digit.
+_CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+  string_split(CAST(doc_id AS VARCHAR), ''), lambda d: [ascii(d), 0, 0, 0, 0, 0, 0, 0]))),
+  lambda c, b: xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384)))"""
+
+
+@query(
+    f"""WITH RECURSIVE leaf AS (
+  SELECT doc_id, lang, {_LEAF_SQL.format(n='n_chars')} AS leaf,
+    CASE WHEN {_CRC_SQL} % 7 = 0 THEN {_LEAF_SQL.format(n='(n_chars + 1)')} END AS other,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS slot, count(*) OVER (PARTITION BY lang) AS n
+  FROM documents),
+tree AS (
+  SELECT lang, 0 AS lvl, slot, n, leaf AS h FROM leaf
+  UNION ALL
+  SELECT lang, lvl + 1, slot // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY slot))
+  FROM tree WHERE n > 1 GROUP BY lang, lvl, slot // 2),
+subroot AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS slot, count(*) OVER () AS n
+  FROM tree WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, slot, n, subroot AS h FROM subroot
+  UNION ALL
+  SELECT lvl + 1, slot // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY slot))
+  FROM top WHERE n > 1 GROUP BY lvl, slot // 2),
+height AS (SELECT DISTINCT lang, lvl FROM tree WHERE n > 1),
+step AS (
+  SELECT d.doc_id, x.lvl AS k, (d.slot >> x.lvl) & 1 AS side, coalesce(t.h, '') AS h
+  FROM leaf d JOIN height x ON x.lang IS NOT DISTINCT FROM d.lang
+  LEFT JOIN tree t ON t.lang IS NOT DISTINCT FROM d.lang AND t.lvl = x.lvl AND t.slot = xor(d.slot >> x.lvl, 1)
+  UNION ALL
+  SELECT d.doc_id, 100 + x.lvl, (s.slot >> x.lvl) & 1, coalesce(t.h, '')
+  FROM leaf d JOIN subroot s ON s.lang IS NOT DISTINCT FROM d.lang
+  CROSS JOIN (SELECT DISTINCT lvl FROM top WHERE n > 1) x
+  LEFT JOIN top t ON t.lvl = x.lvl AND t.slot = xor(s.slot >> x.lvl, 1)),
+path AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS k, side, h FROM step),
+folded AS (
+  SELECT doc_id, 0 AS k, coalesce(other, leaf) AS h FROM leaf
+  UNION ALL
+  SELECT f.doc_id, f.k + 1, sha256(CASE WHEN p.side = 1 THEN p.h || f.h ELSE f.h || p.h END)
+  FROM folded f JOIN path p ON p.doc_id = f.doc_id AND p.k = f.k),
+proof AS (SELECT doc_id, sha256(string_agg(h, '' ORDER BY k)) AS proof_sha256 FROM path GROUP BY doc_id),
+ends AS (SELECT doc_id, arg_max(h, k) AS folded_root FROM folded GROUP BY doc_id)
+SELECT d.doc_id, d.leaf, s.subroot, r.h AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+  e.folded_root, e.folded_root = r.h AS verified
+FROM leaf d JOIN subroot s ON s.lang IS NOT DISTINCT FROM d.lang JOIN top r ON r.n = 1
+LEFT JOIN proof p ON p.doc_id = d.doc_id JOIN ends e ON e.doc_id = d.doc_id"""
+)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    more = F.col("n_chars").cast("decimal(38,0)") + 1
+    tampered = F.when(id_remainder("doc_id", 7) == 0, manifest.leaf_digest(columns, {"n_chars": more}))
+    claims = {"claimed": F.coalesce(tampered, manifest.leaf_digest(columns))}
+    rows = manifest.verify(manifest.manifest(table(spark, sf_dir, "documents"), columns, claims=claims), "claimed")
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root", "verified",
+    )
