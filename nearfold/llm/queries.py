@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearfold.llm import (
-    chunks, decontaminate, embeddings, jaccard, language, manifest, packing, quality, suffix, threads, token_files,
+    chunks, decontaminate, embeddings, jaccard, language, licenses, manifest, packing, quality, suffix, threads,
+    token_files,
 )
 from nearfold.llm.batches import id_remainder, table
 from nearfold.session import new_folder
@@ -171,6 +172,50 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def _signature_values() -> str:
+    rows = [(n, t, label, key, licenses.over_words(p)) for n, (t, label, key, p) in enumerate(licenses.all_rules())]
+    return ",\n".join(f"({n}, {t}, '{label}', ' {key} ', '{p}')" for n, t, label, key, p in rows)
+
+
+@query(
+    f"""WITH rule(no, tier, label, keyword, pattern) AS (VALUES {_signature_values()}),
+said AS (
+  SELECT doc_id, trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '{licenses.SEPARATORS}', '  ', 'g'), ' ') AS said FROM documents),
+padded AS (SELECT doc_id, CASE WHEN said = '' THEN '' ELSE ' ' || said || ' ' END AS t FROM said),
+hit AS (
+  SELECT doc_id, no, tier, label, regexp_split_to_array(t, pattern) AS pieces, regexp_extract_all(t, pattern) AS found
+  FROM padded JOIN rule ON contains(t, keyword)),
+place AS (
+  SELECT doc_id, no, tier, label, unnest(generate_series(1, len(found))) AS k, pieces, found FROM hit),
+span AS (
+  SELECT doc_id, no, tier, label, (start - length(replace(lead_in, ' ', ''))) // 2 AS start,
+    (start - length(replace(lead_in, ' ', '')) + length(one) - length(replace(one, ' ', ''))) // 2 AS stop
+  FROM (SELECT *, array_to_string(pieces[1:k], '') || array_to_string(found[1:k - 1], '') AS lead_in,
+               length(lead_in) AS start, found[k] AS one FROM place)),
+kept AS (
+  SELECT d.*, tier = 0 OR NOT EXISTS (
+    FROM span e WHERE e.doc_id = d.doc_id AND e.tier BETWEEN 1 AND d.tier AND e.start <= d.start AND e.stop >= d.stop
+    AND (e.tier < d.tier OR e.stop - e.start > d.stop - d.start
+         OR (e.stop - e.start = d.stop - d.start AND e.no < d.no))) AS kept
+  FROM span d)
+SELECT p.doc_id, any_value((length(t) - length(replace(t, ' ', ''))) // 2) AS n_words,
+  count(*) FILTER (tier = 0) AS n_base,
+  min(start) FILTER (tier = 0) AS first_word, max(start) FILTER (tier = 0) AS last_word,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (tier = 0), '') AS base_labels,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (kept), '') AS labels,
+  coalesce(max(CASE tier {' '.join(f'WHEN {t} THEN {c}::DOUBLE' for t, c in licenses.CONFIDENCE.items())} END)
+           FILTER (kept), 0.0::DOUBLE) AS score
+FROM padded p LEFT JOIN kept k ON k.doc_id = p.doc_id GROUP BY p.doc_id"""
+)
+def op11_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
 _LEAF_SQL = "sha256(concat(" + ", ".join(
     f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
     for c in ("doc_id", "source", "lang", "{n}", "text")
