@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearfold.llm import (
-    chunks, decontaminate, embeddings, jaccard, language, licenses, manifest, packing, quality, suffix, threads,
-    token_files,
+    alignment, chunks, decontaminate, embeddings, jaccard, language, licenses, manifest, packing, quality, suffix,
+    threads, token_files,
 )
 from nearfold.llm.batches import id_remainder, table
 from nearfold.session import new_folder
@@ -216,6 +216,12 @@ def op11_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = alignment.align(table(spark, sf_dir, "documents")).rows
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 _LEAF_SQL = "sha256(concat(" + ", ".join(
     f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
     for c in ("doc_id", "source", "lang", "{n}", "text")
