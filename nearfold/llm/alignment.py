@@ -23,6 +23,7 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from nearfold.llm.batches import slices
+from nearfold.llm.batches import ragged, slices
 from nearfold.session import Steps, freeze
 
 CHUNK = 1 << 16
@@ -38,11 +39,40 @@ FAN = 16
 HOT = 1 << 18
 #: Distinct pairs that a task holds before it passes them on.
 PAIRS_AT_ONCE = 1 << 20
-#: Texts that a library encodes in one call.
-_AT_ONCE = 256
+#: Words that a library encodes in one call, and about how many a worker remembers.
+_AT_ONCE = 1 << 12
+WORDS_KEPT = 1 << 18
 _tokenizers: dict[tuple[str, str], Tokenizers] = {}
 
 
+class _Grown:
+    """An array that grows by doubling."""
+
+    def __init__(self, dtype: type) -> None:
+        self.n, self.room = 0, np.zeros(1 << 12, dtype=dtype)
+
+    def add(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.room):
+            room = np.zeros(max(2 * len(self.room), self.n + len(values)), dtype=self.room.dtype)
+            room[: self.n] = self.room[: self.n]
+            self.room = room
+        self.room[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+    def of(self, places: np.ndarray) -> np.ndarray:
+        return self.room[places]
+
+
+class _Words:
+    """Words with a number each, the ids, starts and sizes of both sides, and whether they spell the word."""
+
+    def __init__(self) -> None:
+        self.codes: dict[str, int] = {}
+        self.chars = 0
+        self.a, self.b = ([_Grown(np.int32), _Grown(np.int64), _Grown(np.int32)] for _ in range(2))
+        self.spelled = _Grown(bool)
+
+
 class Tokenizers:
     """Both tokenizers of a Python worker, and the bytes of their tokens."""
 
@@ -55,9 +85,11 @@ class Tokenizers:
         self.a.encode_special_tokens = True
         self.n_a, self.n_b = self.a.get_vocab_size(), self.b.get_piece_size()
         byte_of = _byte_level()
-        self.a_bytes = [bytes(map(byte_of.__getitem__, t)) if set(t) <= set(byte_of) else None for t in map(self.a.id_to_token, range(self.n_a))]
+        self.a_bytes = [
+            bytes(map(byte_of.__getitem__, t)) if set(t) <= set(byte_of) else b"" for t in map(self.a.id_to_token, range(self.n_a))
+        ]
         self.b_bytes = [_piece_bytes(self.b, k) for k in range(self.n_b)]
-        self.a_sizes, self.b_sizes = (np.array([len(x or b"") for x in t]) for t in (self.a_bytes, self.b_bytes))
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
         # Every id followed by a comma or by the mark that ends its side of a group.
         ends = [f"{k}{mark}".encode() for n, last in ((self.n_a, "|"), (self.n_b, ";")) for k in range(n) for mark in (",", last)]
         self.spelled_sizes = np.array([len(x) for x in ends])
@@ -65,21 +97,57 @@ class Tokenizers:
         self.spelled = np.frombuffer(b"".join(x.ljust(width) for x in ends), dtype=np.uint8).reshape(-1, width)
         self.spelled_mask = np.arange(width) < self.spelled_sizes[:, None]
         self.key_type = np.uint32 if self.n_a * self.n_b < 1 << 32 else np.uint64
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a: list[list[int]] = []
-        for at in range(0, len(texts), _AT_ONCE):
-            spaced = [" " + t for t in texts[at : at + _AT_ONCE]]
-            a += [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        return a, self.b.encode(texts, num_threads=1)
-
-    def spells(self, raw: bytes, a: list[int], b: list[int]) -> bool:
-        """Whether both sides spell a space and the text."""
-        spoken = b" " + raw
-        try:
-            return b"".join(map(self.a_bytes.__getitem__, a)) == spoken == b"".join(map(self.b_bytes.__getitem__, b))
-        except TypeError:  # a token without bytes
-            return False
+        self.words = _Words()
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of side A of all texts in a row, how many each text has, the same of side B, and whether they spell it.
+
+        No token of either side goes on over a single space between other characters, so the tokens of a
+        text are those of its words, each with the space before it, and a word that was seen before is not
+        encoded again. A text in which spaces stand otherwise is taken as one word.
+        """
+        parts = [[t] if "  " in t or "▁" in t or t[:1] == " " or t[-1:] == " " else t.split(" ") for t in texts]
+        words = list(chain.from_iterable(parts))
+        if len(self.words.codes) > WORDS_KEPT or self.words.chars > 16 * WORDS_KEPT:
+            self.words = _Words()
+        self._learn([w for w in dict.fromkeys(words) if w not in self.words.codes])
+        codes = np.fromiter(map(self.words.codes.__getitem__, words), dtype=np.int64, count=len(words))
+        last = np.cumsum([len(p) for p in parts])
+        sides = []
+        for ids, starts, sizes in (self.words.a, self.words.b):
+            own = sizes.of(codes)
+            upto = np.concatenate([[0], np.cumsum(own)])[last]
+            sides += [ids.of(ragged(starts.of(codes), own)), np.diff(upto, prepend=0)]
+        wrong = np.concatenate([[0], np.cumsum(~self.words.spelled.of(codes))])[last]
+        return *sides, np.diff(wrong, prepend=0) == 0
+
+    def _learn(self, words: list[str]) -> None:
+        known = self.words
+        for at in range(0, len(words), _AT_ONCE):
+            some = words[at : at + _AT_ONCE]
+            a = [e.ids for e in self.a.encode_batch_fast([" " + w for w in some], add_special_tokens=False)]
+            b = self.b.encode(some, num_threads=1)
+            for side, found in ((known.a, a), (known.b, b)):
+                sizes = np.array([len(x) for x in found], dtype=np.int64)
+                side[1].add(side[0].n + np.cumsum(sizes) - sizes)
+                side[2].add(sizes)
+                side[0].add(np.fromiter(chain.from_iterable(found), dtype=np.int64, count=int(sizes.sum())))
+            known.spelled.add(self._spelled(some, a, b))
+            for w in some:
+                known.codes[w] = len(known.codes)
+                known.chars += len(w)
+
+    def _spelled(self, words: list[str], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
+        """For each word whether both sides spell a space and the word."""
+        spoken = [b" " + w.encode() for w in words]
+        right = np.ones(len(words), dtype=bool)
+        for ids, table, sizes in ((a, self.a_bytes, self.a_sizes), (b, self.b_bytes, self.b_sizes)):
+            flat = list(chain.from_iterable(ids))
+            upto = np.concatenate([[0], np.cumsum(sizes[flat])])[np.cumsum([len(x) for x in ids])] if flat else 0
+            as_long = np.array_equal(np.diff(upto, prepend=0), [len(x) for x in spoken])
+            if not as_long or b"".join(map(table.__getitem__, flat)) != b"".join(spoken):
+                right &= [b"".join(map(table.__getitem__, x)) == s for x, s in zip(ids, spoken, strict=True)]
+        return right
 
     def group_texts(self, codes: np.ndarray) -> np.ndarray:
         return self.spelled[codes][self.spelled_mask[codes]]
@@ -230,14 +298,14 @@ def chunk_rows(
 
     All texts lie on one axis of bytes, where ends, cuts and chunks of both sides are places.
     """
-    a_all, b_all = tools.encode([r.decode("utf-8", "replace") for r in raws])
-    good = [k for k, r in enumerate(raws) if r and tools.spells(r, a_all[k], b_all[k])]
-    for k in set(range(len(raws))) - set(good):
+    a, n_a, b, n_b, spelled_right = tools.encode([r.decode("utf-8", "replace") for r in raws])
+    fine = spelled_right & (np.array([len(r) for r in raws]) > 0)
+    good = np.flatnonzero(fine).tolist()
+    for k in np.flatnonzero(~fine).tolist():
         yield _empty_row(*ids[k])
     if not good:
         return
-    a = np.fromiter((x for k in good for x in a_all[k]), dtype=np.int64)
-    b = np.fromiter((x for k in good for x in b_all[k]), dtype=np.int64)
+    a, b = a[np.repeat(fine, n_a)].astype(np.int64), b[np.repeat(fine, n_b)].astype(np.int64)
     sizes = np.array([len(raws[k]) + 1 for k in good])
     base = np.cumsum(sizes) - sizes
     total = int(sizes.sum())
