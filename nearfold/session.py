@@ -41,14 +41,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def freeze(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` as a Parquet table in the shared folder and read it back.
+def freeze(df: DataFrame, name: str, **options: str | int) -> DataFrame:
+    """Write `df` as a Parquet table in the shared folder and read it back; `options` go to the writer.
 
     Cuts the lineage, so a lost executor recomputes nothing upstream, and fixes values that a
     recomputation could give differently (generated ids, range bounds). Later readers prune columns.
     The table stays, because the caller's lazy result reads it.
     """
-    return _written(df, new_folder(df.sparkSession, name))
+    return _written(df, new_folder(df.sparkSession, name), **options)
 
 
 def number_rows(df: DataFrame, column: str = "row") -> DataFrame:
