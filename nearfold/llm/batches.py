@@ -10,7 +10,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearfold.session import freeze
+
 SLICE_BYTES = 1 << 20
+#: Files of a table whose numbers are broadcast; of more, the rows are numbered in a copy.
+FILES = 1 << 16
+_SMALL = {"parquet.block.size": 1 << 20, "parquet.page.size": 64 << 10, "parquet.enable.dictionary": "false"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +27,50 @@ def id_remainder(id_col: str, of: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % of
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A name for a column that `df` does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
+def number_rows(df: DataFrame, column: str = "row") -> DataFrame:
+    """`df` with a number for each row in `column`, the same however often and by whatever splits it is read.
+
+    Rows read from files are numbered by their file and their place in it, without a copy. All else
+    (rows computed, generated or joined) is numbered once and written; that table stays, as with
+    `freeze`. Its texts go out in small row groups and pages, so that a task holds few of them.
+    """
+    path, number = free_name(df, f"{column}_file"), free_name(df, f"{column}_file_number")
+    files = _file_numbers(df, path, number) if _is_scan(df) else None
+    if files is None:
+        return freeze(df.withColumn(column, F.monotonically_increasing_id()), "numbered", **_SMALL)
+    numbered = df.withColumns({path: F.col("_metadata.file_path"), column: F.col("_metadata.row_index")})
+    numbered = numbered.join(F.broadcast(files), path)
+    return numbered.withColumn(column, F.shiftleft(number, 40) + F.col(column)).drop(path, number)
+
+
+def _is_scan(df: DataFrame) -> bool:
+    """Whether the rows are those of files, perhaps filtered and with some columns computed from others."""
+    if any(c.lower() == "_metadata" for c in df.columns):
+        return False
+    plan = df._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation"
+
+
+def _file_numbers(df: DataFrame, path: str, number: str) -> DataFrame | None:
+    files = df.select(F.col("_metadata.file_path").alias(path)).distinct().limit(FILES + 1).collect()
+    if len(files) > FILES:
+        return None
+    numbered = list(enumerate(sorted(r[0] for r in files)))
+    return df.sparkSession.createDataFrame(numbered, f"{number} bigint, {path} string")
+
+
 def raw_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string or binary column; a null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -23,9 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearfold.llm.batches import ragged, slices
+from nearfold.llm.batches import number_rows, ragged, slices
 from nearfold.llm.words import mix
-from nearfold.session import Steps, freeze, number_rows
+from nearfold.session import Steps, freeze
 
 REACH = 24
 LONGEST = 1024
@@ -205,16 +205,20 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     as a whole nothing is kept, whatever its length. Of chunks with one
     digest the one with the least id (nulls last), and then the first row and place, is no repeat.
     Null texts are empty and have no chunks. Rows that share an id, or are equal in all columns, are
-    rows of their own. Other columns are not read. `docs` is read once, numbered and written.
+    rows of their own. Other columns are not read. Ids are whole numbers, or text that holds such;
+    other text counts as null in the order.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = number_rows(
-        docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+        docs.select(
+            F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+            F.col(id_col).try_cast("bigint").alias("rank"),
+        )
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, int(size / (2 * REACH) / CHUNKS_PER_BUCKET))
     with Steps(docs.sparkSession) as steps:
-        sent = rows.select("row", "doc_id", "text").mapInArrow(_entries(buckets), _ENTRIES)
+        sent = rows.select("row", "rank", "text").mapInArrow(_entries(buckets), _ENTRIES)
         again = sent.groupBy("bucket").applyInArrow(_repeats, "row bigint, nth int")
         again = steps.freeze(again, "repeats")
         nths = freeze(again.groupBy("row").agg(F.collect_list("nth").alias("nths")), "repeated-chunks")

@@ -45,10 +45,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfold.llm.batches import ragged, slices
+from nearfold.llm.batches import free_name, number_rows, ragged, slices
 from nearfold.llm.graph import components
 from nearfold.llm.words import SHINGLE, mix, shingle_hashes, word_hashes
-from nearfold.session import Steps, freeze, number_rows
+from nearfold.session import Steps, freeze
 
 _U = np.uint64
 RANGES = 1 << 12
@@ -660,20 +660,18 @@ def similar_groups(
     `100 * shared >= percent * union`. Null texts and texts without words have no shingles and link
     with nothing. Rows with equal sets always link. The component's id is its smallest id; an id that
     stands on several rows is one document for this and several rows of the result. A null id stays
-    null as a row's id and counts as an id of a component only if no other is there. `row` is the
-    row's `monotonically_increasing_id`; `kept` is true for one row of each component, of those with
-    its id the first, and for every row without shingles. Other columns are not read.
+    null as a row's id and counts as an id of a component only if no other is there. Ids are whole
+    numbers, or text that holds such; other text counts as a null id. `row` is the number that
+    `number_rows` gives the row, the same for each read of files; `kept` is true for one row of each
+    component, of those with its id the first, and for every row without shingles. Other columns are
+    not read.
     """
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(id_col).cast("bigint").alias("doc_id"),
-        F.col(text_col).alias("text"),
-    )
-    return _grouped_rows(rows, percent)
+    rows = docs.select(F.col(id_col).try_cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    return _grouped_rows(number_rows(rows), percent)
 
 
 def _grouped_rows(rows: DataFrame, percent: int) -> DataFrame:
-    """`similar_groups` of rows `row, doc_id, text`; the numbers are read once and written."""
+    """`similar_groups` of rows `row, doc_id, text`, with the column `row`."""
     if not 50 <= percent <= 100:
         raise ValueError("bands fit similarities from 50 to 100 per cent")
     with Steps(rows.sparkSession) as steps:
@@ -700,14 +698,14 @@ def _grouped_rows(rows: DataFrame, percent: int) -> DataFrame:
 def one_of_each_group(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75
 ) -> DataFrame:
-    """The rows of `docs` that `similar_groups` keeps, with all their columns.
+    """The rows of `docs` that `similar_groups` keeps, with all their columns, whatever their names.
 
-    `docs` is read once, numbered and written.
+    Nulls, empty texts, equal rows and ids are taken as there; a table without rows stays one.
     """
-    number = "row_of_" + "_".join(docs.columns)  # a name that no column has
+    number = free_name(docs, "row_of_text")
     numbered = number_rows(docs, number)
     rows = numbered.select(
-        F.col(number).alias("row"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")
+        F.col(number).alias("row"), F.col(id_col).try_cast("bigint").alias("doc_id"), F.col(text_col).alias("text")
     )
-    gone = _grouped_rows(rows, percent).filter(~F.col("kept")).select(F.col("row").alias("gone"))
-    return numbered.join(gone, numbered[number] == gone["gone"], "left_anti").drop(number)
+    gone = _grouped_rows(rows, percent).filter(~F.col("kept")).select(F.col("row").alias(number))
+    return numbered.join(gone, number, "left_anti").drop(number)

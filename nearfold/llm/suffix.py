@@ -29,9 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearfold.llm.batches import ragged, slices
+from nearfold.llm.batches import free_name, number_rows, ragged, slices
 from nearfold.llm.words import RAW_BYTE_HASH, mix, powers
-from nearfold.session import Steps, freeze, number_rows
+from nearfold.session import Steps, freeze
 
 _U = np.uint64
 WIDTH = 200
@@ -39,7 +39,8 @@ GRAM = 64
 HOT = 10_000
 RUNS_PER_BUCKET = 20_000
 RUNS_AT_ONCE = 4_000
-ANCHORS_PER_BUCKET = 1_000_000
+ANCHORS_PER_BUCKET = 400_000
+ANCHORS_HELD = 400_000
 FLUSH_BYTES = 12 << 20
 _PLACE = (1 << 24) - 1
 _CHUNK = 1 << 22
@@ -314,7 +315,7 @@ def _anchors(buckets: int, width: int):
             nth = (np.arange(len(text)) - begins[text]).astype(np.int32)
             held.append((v, row[text], nth))
             size += len(v)
-            if size > 1_000_000:
+            if size > ANCHORS_HELD:
                 yield flush(held)
                 held, size = [], 0
         if size:
@@ -568,8 +569,7 @@ def remove_repeats(
     also starts anywhere else, in another row or the same one; `removed` lists the maximal removed
     runs as `start, stop`. Strings are judged on the input, so all copies lose them. Null texts are
     empty; texts shorter than `width` stay whole. Rows that share an id or are equal in all columns
-    are rows of their own, and null ids stay null. Other columns are not read. `docs` is read once,
-    numbered and written.
+    are rows of their own, and null ids stay null. Other columns are not read.
     """
     rows = number_rows(
         docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -586,15 +586,16 @@ def without_repeats(docs: DataFrame, text_col: str = "text", width: int = WIDTH)
     """All rows of `docs` with their columns, the text cut as `remove_repeats` cuts it.
 
     A character that a cut divides goes as a whole. A null text stays null, and `n_chars`, if there
-    is such a column, is counted anew. `docs` is read once, numbered and written.
+    is such a column, is counted anew. An empty or short text stays as it is, rows that are equal in
+    all columns are rows of their own, and other columns may have any names and values.
     """
-    names = {c: f"{c}_of_{'_'.join(docs.columns)}" for c in ("row", "spans")}  # names that no column has
+    names = {c: free_name(docs, f"{c}_of_text") for c in ("row", "of", "spans")}
     numbered = number_rows(docs, names["row"])
     rows = numbered.select(F.col(names["row"]).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     with Steps(docs.sparkSession) as steps:
-        spans = repeated_spans(rows, steps, width).withColumnRenamed("spans", names["spans"])
-    joined = numbered.join(spans, numbered[names["row"]] == spans["row"], "left")
-    place, last = docs.columns.index(text_col), len(docs.columns)
+        spans = repeated_spans(rows, steps, width).withColumnsRenamed({"row": names["of"], "spans": names["spans"]})
+    joined = numbered.join(spans, F.col(names["row"]) == F.col(names["of"]), "left").drop(names["row"], names["of"])
+    place, last, names_out = docs.columns.index(text_col), len(docs.columns), docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -607,9 +608,10 @@ def without_repeats(docs: DataFrame, text_col: str = "text", width: int = WIDTH)
                 ]
                 columns = list(part.columns[:last])
                 columns[place] = pa.array(texts, pa.string())
-                yield pa.RecordBatch.from_arrays(columns, part.schema.names[:last])
+                yield pa.RecordBatch.from_arrays(columns, names_out)
 
-    out = joined.select(*docs.columns, names["spans"]).mapInArrow(cut, docs.schema)
+    # Spark's Arrow functions take no columns with a dot in their name, but they can return such.
+    out = joined.toDF(*[f"c{k}" for k in range(last + 1)]).mapInArrow(cut, docs.schema)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.length(text_col).cast(kind))

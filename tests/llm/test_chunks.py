@@ -55,8 +55,9 @@ def brute(rows):
                 spans[-1] = (spans[-1][0], z)
             else:
                 spans.append((a, z))
-        spans = [s for s in spans if s[1] - s[0] >= chunks.SHORTEST_RUN]
         raw, kept, at = (text or "").encode(), b"", 0
+        # A run goes from 64 bytes on, and a shorter one if it is the whole text.
+        spans = [s for s in spans if s[1] - s[0] >= 64 or s == (0, len(raw))]
         for a, z in spans:
             kept, at = kept + raw[at:a], z
         flags.append((str(doc_id), kept + raw[at:], spans, len(raw), len(cuts[k]), len(repeats[k])))

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from llm_tables import documents, duck  # noqa: F401
 
-from nearfold.llm import queries, suffix
+from nearfold.llm import chunks, jaccard, queries, suffix
 
 SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, kept string, row int, spans string"
@@ -134,3 +134,26 @@ def test_colliding_hashes_are_found(monkeypatch):
     """With a useless hash the verification falls back on the bytes."""
     monkeypatch.setattr(suffix, "RAW_BYTE_HASH", np.zeros(256, dtype=np.uint64))
     test_suffix_order_is_that_of_the_bytes()
+
+
+def test_columns_of_any_names(spark, tmp_path):
+    """Columns named like those that the operators use inside, in rows from files and in made-up ones."""
+    rng = random.Random(6)
+    passage = words(rng, 80)
+    texts = [words(rng, 30) + passage + words(rng, 30) for _ in range(4)] + [None, "", "short", "short"]
+    names = "doc_id bigint, text string, Row bigint, spans string, nths int, hash string, row_file string, `a.b` int"
+    rows = [(k, t, 7, "s", 1, "h", "f", 3) for k, t in enumerate(texts)]
+    made = spark.createDataFrame(rows, names)
+    made.write.parquet(str(tmp_path / "rows"))
+    for docs in (made, spark.read.parquet(str(tmp_path / "rows"))):
+        got = sorted(suffix.without_repeats(docs).collect(), key=lambda r: r.doc_id)
+        assert [tuple(r)[2:] for r in got] == [(7, "s", 1, "h", "f", 3)] * 8
+        assert [r.text for r in got[4:]] == texts[4:] and all(len(r.text) < len(t) for r, t in zip(got[:4], texts))
+        assert jaccard.one_of_each_group(docs).columns == docs.columns
+        assert chunks.drop_repeated_chunks(docs).count() == 8
+
+
+def test_ids_as_text(spark):
+    docs = spark.createDataFrame([("x1", "some words here"), ("7", "some words here"), (None, "other")], "doc_id string, text string")
+    assert sorted(r.doc_id or "" for r in chunks.drop_repeated_chunks(docs).collect()) == ["", "7", "x1"]
+    assert {r.component_id for r in jaccard.similar_groups(docs).collect()} == {7, None}
