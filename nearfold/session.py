@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def local_session(cpus: int | str = "*", app: str = "nearfold") -> SparkSession:
@@ -51,17 +50,6 @@ def freeze(df: DataFrame, name: str, **options: str | int) -> DataFrame:
     return _written(df, new_folder(df.sparkSession, name), **options)
 
 
-def number_rows(df: DataFrame, column: str = "row") -> DataFrame:
-    """`df` with a number for each row in `column`, written once.
-
-    A second read of the input may split its files otherwise and number the rows anew, so all that
-    goes by the number must read this table and not `df`. It stays, as with `freeze`. Texts go out in
-    small row groups and pages, so that a task holds few of them in memory, here and when they are read.
-    """
-    numbered = df.withColumn(column, F.monotonically_increasing_id())
-    return _written(numbered, new_folder(df.sparkSession, "numbered"), **_SMALL)
-
-
 class Steps:
     """Frozen tables of one run that nothing reads once its result is written; removed at the end.
 
@@ -90,9 +78,6 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/nearfold/{name}-{uuid.uuid4().hex}"
 
 
-_SMALL = {"parquet.block.size": 1 << 20, "parquet.page.size": 64 << 10, "parquet.enable.dictionary": "false"}
-
-
 def _written(df: DataFrame, path: str, **options: str | int) -> DataFrame:
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
