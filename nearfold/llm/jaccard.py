@@ -584,16 +584,28 @@ class JaccardJoin:
         rows = rows.join(mixed.filter("x <> y").select("grp", "lead"), "grp")
         rows = rows.groupBy(F.col("lead").alias("grp"), "did").agg(F.min("odd").alias("odd"))
         others = rows.join(behind, "did").select("grp", F.col("other").alias("did"), F.lit(False).alias("odd"))
-        rows = rows.select("grp", "did", "odd").unionByName(others).join(comps.select("did", "node"), "did")
-        rows = rows.groupBy("grp", "node").agg(F.min("odd").alias("odd"))
+        rows = rows.select("grp", "did", "odd").unionByName(others).join(comps, "did")
+        rows = rows.groupBy("grp", "node").agg(F.min("odd").alias("odd"), F.min("comp").alias("comp"))
         rows = self.steps.freeze(rows, "merged")
-        sized = rows.groupBy("grp").agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
-        rows = rows.join(sized, "grp")
+        # Sets inside the component that most of a group is in need not meet each other. They stand in
+        # slices of their own and meet only those outside, who meet everyone.
+        sizes = rows.groupBy("grp", "comp").agg(F.count("*").alias("n"))
+        sized = sizes.groupBy("grp").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("all"))
+        sized = sized.select(
+            "grp", F.col("main.comp").alias("main"),
+            F.ceil((F.col("all") - F.col("main.n")) / TILE).cast("int").alias("outside"),
+            F.ceil(F.col("main.n") / TILE).cast("int").alias("inside"),
+        )
+        rows = rows.join(sized.filter("outside > 0"), "grp")
         # Small groups share a task.
         parts = max(1, -(-rows.count() // ROWS_PER_TASK))
         rows = rows.withColumn("part", F.pmod(F.xxhash64("grp"), F.lit(parts)))
-        rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        away, slot = F.col("comp") != F.col("main"), F.xxhash64("node")
+        rows = rows.withColumn(
+            "block", F.when(away, F.pmod(slot, "outside")).otherwise(F.col("outside") + F.pmod(slot, "inside")).cast("int")
+        )
+        meets = F.when(away, F.col("outside") + F.col("inside")).otherwise(F.col("outside"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), meets - 1)))
         rows = rows.select(
             "part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
             "grp", "block", "odd", "node",
@@ -607,8 +619,9 @@ class JaccardJoin:
         """
         comps = self.nodes.select("node").join(found, "node", "left")
         rows = self.tiles.join(comps.select("node", F.coalesce("component", "node").alias("comp")), "node")
-        mixed = rows.groupBy("grp").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
-        rows = rows.join(mixed.select("grp"), "grp", "left_semi")
+        tile = ["grp", "i", "j"]
+        mixed = rows.groupBy(*tile).agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
+        rows = rows.join(mixed.select(*tile), tile, "left_semi")
         met = rows.groupBy("part", "i", "j")
         return met.applyInArrow(_mixed_pairs(self.percent, limit), "a bigint, b bigint").distinct()
 
