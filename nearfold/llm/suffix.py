@@ -39,6 +39,7 @@ GRAM = 64
 HOT = 10_000
 RUNS_PER_BUCKET = 20_000
 RUNS_AT_ONCE = 4_000
+HOT_RUNS_AT_ONCE = 1_000
 ANCHORS_PER_BUCKET = 400_000
 ANCHORS_HELD = 400_000
 FLUSH_BYTES = 12 << 20
@@ -394,9 +395,11 @@ class _Sender:
             else:
                 bucket = ((v >> 32) * self.buckets) >> 32
                 rows.setdefault(bucket, []).append((v, doc, start, anchor, len(text), text))
-        if hot:
-            self._send_hot(hot, rows)
         self.clear()
+        hot.sort(key=lambda x: x[0])
+        while hot:
+            yield from self._hot_batches(hot[-HOT_RUNS_AT_ONCE:])
+            del hot[-HOT_RUNS_AT_ONCE:]
         batch: list[tuple] = []
         for bucket, items in rows.items():
             v, doc, start, anchor, size, text = zip(*items, strict=True)
@@ -417,26 +420,47 @@ class _Sender:
         if batch:
             yield _run_batch(batch)
 
-    def _send_hot(self, hot: list[tuple], rows: dict[int, list]) -> None:
-        hashes = np.array([x[0] for x in hot], dtype=_U)
-        for some in _portions(hashes):
-            self._send_portion([hot[k] for k in some.tolist()], rows)
+    def _hot_batches(self, hot: list[tuple]) -> Iterator[pa.RecordBatch]:
+        """Windows of runs with hot anchors: known spans, and by digest one window of each kind.
 
-    def _send_portion(self, hot: list[tuple], rows: dict[int, list]) -> None:
+        Runs of one anchor may come in more than one call; then a kind of window travels once for each.
+        """
         v, doc, start, anchor, text = zip(*hot, strict=True)
         string, place, repeated, head = repeated_windows(
             list(text), np.array(v, dtype=_U), np.array(anchor, dtype=np.int64), self.width
         )
         doc, start = np.array(doc, dtype=np.int64), np.array(start, dtype=np.int64)
         known = repeated & (doc[string] >= 0)
-        for s, a, z in zip(*(x.tolist() for x in _spans(string[known], place[known], self.width)), strict=True):
-            d = int(doc[s])
-            rows.setdefault(-1 - d % self.buckets, []).append((0, d, int(start[s]) + a, 0, z - a, b""))
-        for s, p, again in zip(string[head].tolist(), place[head].tolist(), repeated[head].tolist(), strict=True):
-            digest = hashlib.blake2b(text[s][p : p + self.width], digest_size=16).digest()
-            bucket = self.buckets + int.from_bytes(digest[:4], "little") % self.buckets
-            d = -1 if again else int(doc[s])
-            rows.setdefault(bucket, []).append((0, d, int(start[s]) + p, 0, self.width, digest))
+        s, a, z = _spans(string[known], place[known], self.width)
+        yield from self._packed(-1 - doc[s] % self.buckets, doc[s], start[s] + a, z - a, np.zeros((len(s), 0), dtype=np.uint8))
+        string, place, repeated = string[head], place[head], repeated[head]
+        digests = b"".join(
+            hashlib.blake2b(text[k][p : p + self.width], digest_size=16).digest()
+            for k, p in zip(string.tolist(), place.tolist(), strict=True)
+        )
+        kinds = np.frombuffer(digests, dtype=np.uint8).reshape(-1, 16)
+        bucket = self.buckets + kinds[:, :4].copy().view("<u4").reshape(-1).astype(np.int64) % self.buckets
+        yield from self._packed(
+            bucket, np.where(repeated, -1, doc[string]), start[string] + place, np.full(len(string), self.width), kinds
+        )
+
+    def _packed(
+        self, bucket: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarray, text: np.ndarray
+    ) -> Iterator[pa.RecordBatch]:
+        """A row for each bucket; `text` has as many bytes for each entry."""
+        order = np.argsort(bucket, kind="stable")
+        edges = np.flatnonzero(np.diff(bucket[order])) + 1
+        rows = []
+        for at in np.split(order, edges) if len(order) else ():
+            zeros = np.zeros(len(at), dtype=np.int64)
+            rows.append(
+                (
+                    int(bucket[at[0]]), zeros.tobytes(), doc[at].astype(np.int64).tobytes(), start[at].astype(np.int64).tobytes(),
+                    zeros.astype(np.int32).tobytes(), size[at].astype(np.int64).tobytes(), text[at].tobytes(),
+                )
+            )
+        for at in range(0, len(rows), 64):
+            yield _run_batch(rows[at : at + 64])
 
 
 def _run_batch(rows: list[tuple]) -> pa.RecordBatch:
