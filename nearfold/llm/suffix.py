@@ -105,7 +105,8 @@ def _runs(parts: list[tuple[int, int, bytes]], width: int) -> tuple[np.ndarray,
     part = np.searchsorted(begins, start, "right") - 1
     shift = np.array([x[1] for x in parts])[part] - begins[part]
     text = np.array([x[0] for x in parts])[part]
-    return text, start + shift, np.diff(np.append(at, len(windows))), anchor + shift, hashes[anchor]
+    # Anchors have small hashes, by their choice; buckets are dealt by a hash that is even again.
+    return text, start + shift, np.diff(np.append(at, len(windows))), anchor + shift, mix(hashes[anchor])
 
 
 class _Text:
