@@ -20,10 +20,11 @@ from nearfold.fixed import CANDIDATE_BATCH, RUNTIME_EDGES, YEAR_EDGES  # noqa: E
 from nearfold.functions.nulls import normalize_nulls  # noqa: E402
 from nearfold.functions.numbers import bin_right_closed, cast_trunc  # noqa: E402
 from nearfold.functions.text import combined_text  # noqa: E402
-from nearfold.operators import counts, filters, joins, keys, reads, shapes, topk  # noqa: E402
+from nearfold.operators import counts, dictionary, filters, joins, keys, reads, shapes, topk  # noqa: E402
 from nearfold.plans import catalogue, recommend  # noqa: E402
 from nearfold.session import freeze, new_folder  # noqa: E402
 from nearfold.sources import tables, tsv  # noqa: E402
+from nearfold.sources.buckets import BucketTable  # noqa: E402
 from nearfold.streaming import ingest  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -284,6 +285,19 @@ def stage_counts(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT 'input' AS stage, count(*) AS n_rows FROM orders
+UNION ALL SELECT 'status', count(*) FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT 'year', count(*) FROM orders WHERE o_orderstatus = 'O' AND year(o_orderdate) < 2000"""
+)
+def observed_counts(spark, sf_dir):
+    """The counts of `stage_counts`, taken while the cleaned rows are written."""
+    conditions = {"status": F.col("o_orderstatus") == "O", "year": cast_trunc(F.col("start_year")) < 2000}
+    kept, left = counts.counted_stages(_order_rows(spark, sf_dir), conditions)
+    freeze(kept, "cleaned")
+    return spark.createDataFrame(list(left().items()), "stage string, n_rows bigint")
+
+
 @query(
     """SELECT 'names' AS stage, count(*) AS n_rows FROM supplier
 UNION ALL SELECT 'titles', count(*) FROM part
@@ -472,6 +486,19 @@ def matrix_shape(spark, sf_dir):
     return counts.matrix_shape(_documents(spark, sf_dir), "doc_id", "text")
 
 
+@query(
+    f"""WITH post AS ({_DOC_POST}), terms AS (SELECT DISTINCT term FROM post),
+numbered AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS number FROM terms)
+SELECT d.doc_id, coalesce(string_agg(number || ':' || tf, ' ' ORDER BY number), '') AS entries
+FROM documents d LEFT JOIN (SELECT * FROM post JOIN numbered USING (term)) p ON p.doc_id = d.doc_id GROUP BY d.doc_id"""
+)
+def sparse_rows(spark, sf_dir):
+    """Texts as rows of a sparse matrix over numbered terms, entries shown as text."""
+    rows, _ = dictionary.sparse_rows(_documents(spark, sf_dir), "doc_id", "text")
+    entry = F.transform(F.arrays_zip("numbers", "tfs"), lambda e: F.concat_ws(":", e["numbers"], e["tfs"]))
+    return rows.select("doc_id", F.array_join(entry, " ").alias("entries"))
+
+
 @query(
     f"""SELECT d.doc_id, coalesce(CAST(sum(tf * tf) AS BIGINT), 0) AS n2
 FROM documents d LEFT JOIN ({_DOC_POST}) p ON p.doc_id = d.doc_id GROUP BY d.doc_id"""
@@ -621,6 +648,12 @@ def row_lookup(spark, sf_dir):
     return reads.row_lookup(_table(spark, sf_dir, "part"), "p_partkey", 7)
 
 
+@query("SELECT * FROM nation WHERE lower(n_name) = 'nation_7'")
+def row_lookup_collated(spark, sf_dir):
+    """A lookup by text in which case and accents do not count."""
+    return reads.row_lookup(_table(spark, sf_dir, "nation"), "n_name", "NÂTION_7", "UNICODE_CI_AI")
+
+
 @query("SELECT * FROM part ORDER BY p_partkey LIMIT 20")
 def rows_list(spark, sf_dir):
     return reads.rows_list(_table(spark, sf_dir, "part"), "p_partkey", 20)
@@ -740,7 +773,50 @@ def stream_ingest(spark, sf_dir):
             spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
         )
         ingest.upsert_stream(arriving, store, "event_id", checkpoint)
-    return tables.read_batches(spark, store, schema)
+    return ingest.stored_rows(spark, store, schema, "event_id")
+
+
+@query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def stream_dedup(spark, sf_dir):
+    """Events delivered twice, each time to a stream that starts again and knows the keys it has seen."""
+    events = _table(spark, sf_dir, "events")
+    landing, store, progress = (new_folder(spark, n) for n in ("landing", "events", "progress"))
+    for _ in range(2):
+        events.write.mode("append").parquet(landing)
+        arriving = spark.readStream.schema(events.schema).parquet(landing)
+        ingest.dedup_stream(arriving, store, "event_id", progress)
+    return spark.read.schema(events.schema).parquet(store)
+
+
+_CORRECTED = "SELECT * REPLACE (CASE WHEN user_id % 7 = 0 THEN value + 1 ELSE value END AS value) FROM events"
+
+
+def _corrected_events(spark, sf_dir):
+    """Events stored in ten batches, and an eleventh one with corrections."""
+    events = _table(spark, sf_dir, "events")
+    store = BucketTable(spark, new_folder(spark, "events"), events.schema, "event_id")
+    for batch in range(10):
+        store.append(events.filter(F.col("event_id") % 10 == batch), batch)
+    store.append(events.filter("user_id % 7 = 0").withColumn("value", F.col("value") + 1), 10)
+    return store
+
+
+@query(_CORRECTED)
+def compacted_store(spark, sf_dir):
+    """Eleven batches merged to one folder, the newest row of each key kept."""
+    store = _corrected_events(spark, sf_dir)
+    store.merge(only_latest=True)
+    return store.read()
+
+
+@query(f"SELECT event_id, value + 1 AS value FROM ({_CORRECTED}) WHERE user_id % 5 = 0")
+def changed_rows(spark, sf_dir):
+    """What a delivery changes, found by key and fingerprint: most of its rows are stored as they come."""
+    store = _corrected_events(spark, sf_dir)
+    delivered = store.latest().withColumn(
+        "value", F.when(F.col("user_id") % 5 == 0, F.col("value") + 1).otherwise(F.col("value"))
+    )
+    return store.changed(delivered).select("event_id", "value")
 
 
 @query(f"WITH {_titles_sql(_BATCHES)} SELECT * FROM content")

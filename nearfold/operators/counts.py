@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from nearfold.functions.text import cosine, dot_product, squared_norm, term_counts, tokens
@@ -60,17 +60,35 @@ def pair_scores(df: DataFrame, text_a: str, text_b: str, min_len: int = 2) -> Da
 def stage_counts(df: DataFrame, stages: Mapping[str, Column]) -> DataFrame:
     """`stage, n_rows`: rows left after each condition in turn, counted in one pass over `df`.
 
-    Inside a running job `DataFrame.observe` gives the same numbers without a query of its own.
+    `counted_stages` gives the same numbers in passing, inside a job that does something else.
     """
-    passed = [F.lit(True)]
-    for condition in stages.values():
-        passed.append(passed[-1] & F.coalesce(condition, F.lit(False)))
     names = ["input", *stages]
-    totals = df.agg(*[F.count_if(c).alias(n) for n, c in zip(names, passed, strict=True)])
+    totals = df.agg(*_stage_totals(stages))
     rows = F.array(*[F.struct(F.lit(n).alias("stage"), F.col(n).alias("n_rows")) for n in names])
     return totals.select(F.inline(rows))
 
 
+def counted_stages(df: DataFrame, stages: Mapping[str, Column]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The rows that meet all conditions, and a function that says how many were left after each.
+
+    The counts are taken while the rows pass, by whatever job reads them first, such as the write of
+    a cleaned table; there is no pass of their own. The function waits for that job. Give it a
+    job that reads all rows once: with a limit, or with rows read again, the numbers mean just that.
+    """
+    seen = Observation()
+    kept = df.observe(seen, *_stage_totals(stages))
+    for condition in stages.values():
+        kept = kept.filter(condition)
+    return kept, lambda: {stage: int(seen.get[stage]) for stage in ["input", *stages]}
+
+
+def _stage_totals(stages: Mapping[str, Column]) -> list[Column]:
+    passed = [F.lit(True)]
+    for condition in stages.values():
+        passed.append(passed[-1] & F.coalesce(condition, F.lit(False)))
+    return [F.count_if(c).alias(n) for n, c in zip(["input", *stages], passed, strict=True)]
+
+
 def union_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """`stage, n_rows` of several tables."""
     counts = [t.agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("stage"), "n_rows")

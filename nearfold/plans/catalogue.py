@@ -108,6 +108,11 @@ def unreadable_titles(raw: DataFrame) -> DataFrame:
     return known.filter(bad)
 
 
+def wanted_titles(raw: DataFrame, title_type: str = "movie", adult: int = 0) -> DataFrame:
+    """The raw rows of this type that are not adult; the flag counts as a number."""
+    return raw.filter((F.col("titleType") == title_type) & (F.col("isAdult").try_cast("double") == adult))
+
+
 def candidate_keys(
     raw: DataFrame,
     attempted: DataFrame,
@@ -116,10 +121,7 @@ def candidate_keys(
     limit: int | None = None,
 ) -> DataFrame:
     """The keys to work on: of this type, not adult, never tried before; with `limit` so many of them."""
-    wanted = raw.filter(
-        (F.col("titleType") == title_type) & (F.col("isAdult").try_cast("double") == adult)
-    )
-    return unseen_batch(wanted, attempted, "tconst", limit)
+    return unseen_batch(wanted_titles(raw, title_type, adult), attempted, "tconst", limit)
 
 
 def clean_crew(raw: DataFrame, keys: DataFrame) -> DataFrame:

@@ -197,3 +197,49 @@ def test_a_limited_batch_leaves_the_rest(spark, sides, tmp_path):
     for taken in (3, 6, 7):
         ingest.run_batch(spark, store, titles(spark, ROWS), *sides, limit=3)
         assert ingest.stored(spark, store, "attempted").count() == taken
+
+
+def test_a_batch_reads_only_the_buckets_of_its_keys(spark, sides, tmp_path, monkeypatch):
+    from nearfold.sources.buckets import BucketTable
+
+    store = str(tmp_path / "store")
+    ingest.run_batch(spark, store, titles(spark, ROWS), *sides, buckets=64)
+    asked = []
+    rows = BucketTable._rows
+
+    def watched(self, parts, before, touched):
+        asked.append((self.path.rsplit("/", 1)[1], touched))
+        return rows(self, parts, before, touched)
+
+    monkeypatch.setattr(BucketTable, "_rows", watched)
+    ingest.run_batch(spark, store, titles(spark, [("tt77", "movie", "0", "1999", "60")]), *sides)
+    assert {t for t, _ in asked} == {"attempted", "names"}
+    assert len(dict(asked)["attempted"]) == 1
+
+
+def test_small_batches_are_merged(spark, sides, tmp_path):
+    store = str(tmp_path / "store")
+    for k in range(3):
+        ingest.run_batch(spark, store, titles(spark, ROWS), *sides, limit=1)
+    before = {t: sorted(map(str, ingest.stored(spark, store, t).collect())) for t in ingest.STORED}
+    assert "attempted" in ingest.compact(spark, store)
+    assert {t: sorted(map(str, ingest.stored(spark, store, t).collect())) for t in ingest.STORED} == before
+    assert ingest.next_batch(spark, store) == 3
+
+
+def test_dedup_stream_forgets_late_keys(spark, tmp_path):
+    source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    schema = "k bigint, ts timestamp"
+
+    def take(*values):
+        spark.createDataFrame(values, "k bigint, at string").selectExpr("k", "cast(at as timestamp) ts").write.mode(
+            "append"
+        ).parquet(source)
+        rows = spark.readStream.schema(schema).parquet(source)
+        ingest.dedup_stream(rows, out, "k", progress, "ts", "1 day")
+        return sorted(r.k for r in spark.read.schema(schema).parquet(out).collect())
+
+    assert take((1, "2024-01-01"), (1, "2024-01-01"), (None, "2024-01-01")) == [1]
+    assert take((1, "2024-01-01"), (2, "2024-01-09")) == [1, 2]
+    # Key 1 is forgotten; a row of its old day is late, one of a new day counts as the first.
+    assert take((1, "2024-01-01"), (2, "2024-01-09"), (1, "2024-01-10")) == [1, 1, 2]

@@ -125,3 +125,45 @@ def test_filters_treat_nulls_like_data_frames(spark):
     df = spark.createDataFrame([("x", 1.0), (None, 2.0), ("y", float("nan")), ("z", 3.0)], "t string, v double")
     assert [r.t for r in reject_list(df, "t", ["x"]).collect()] == [None, "y", "z"]
     assert [r.t for r in dropna_any(df).collect()] == ["x", "z"]
+
+
+def test_counts_in_passing(spark):
+    from nearfold.operators.counts import counted_stages, stage_counts
+
+    df = spark.range(100).select("id", F.when(F.col("id") % 10 != 0, F.col("id")).alias("x"))
+    stages = {"even": F.col("id") % 2 == 0, "large": F.col("x") > 50}
+    kept, left = counted_stages(df, stages)
+    assert kept.count() == 20
+    assert left() == {r.stage: r.n_rows for r in stage_counts(df, stages).collect()} == {"input": 100, "even": 50, "large": 20}
+
+
+def test_collated_lookup(spark):
+    from nearfold.operators.reads import get_row, row_lookup
+
+    df = spark.createDataFrame([("AMÉLIE", 1), ("amelie", 2), ("Amélia", 3), (None, 4)], "k string, v int")
+    assert [r.v for r in row_lookup(df, "k", "Amelie", "UNICODE_CI_AI").collect()] == [1, 2]
+    assert row_lookup(df, "k", "Amelie").count() == 0
+    with pytest.raises(KeyError):
+        get_row(df, "k", "Emilie", "UNICODE_CI_AI")
+
+
+def test_dictionary(spark):
+    from nearfold.operators import dictionary
+
+    texts = [(1, "bb aa aa"), (2, "cc bb"), (3, None), (4, "é aa zz")]
+    rows, terms = dictionary.sparse_rows(spark.createDataFrame(texts, "id bigint, text string"), "id", "text")
+    numbers = {r.term: r.number for r in terms.collect()}
+    assert numbers == {"aa": 0, "bb": 1, "cc": 2, "zz": 3}
+    got = {r.id: list(zip(r.numbers, r.tfs)) for r in rows.collect()}
+    assert got == {1: [(0, 2), (1, 1)], 2: [(1, 1), (2, 1)], 3: [], 4: [(0, 1), (3, 1)]}
+    later = spark.createDataFrame([(9, "aa", 1), (9, "ab", 1), (9, "zzz", 2)], "id bigint, term string, tf bigint")
+    assert {r.term: r.number for r in dictionary.more_terms(terms, later).collect()} == {"ab": 4, "zzz": 5}
+
+
+def test_numbers_without_gaps(spark):
+    from nearfold.operators import dictionary
+
+    terms = spark.range(5000).select(F.hex(F.xxhash64("id")).alias("term"))
+    got = dictionary.numbered_terms(terms, first=7, ranges=13).collect()
+    assert [r.term for r in sorted(got, key=lambda r: r.number)] == sorted(r.term for r in got)
+    assert sorted(r.number for r in got) == list(range(7, 5007))
