@@ -66,8 +66,9 @@ def test_without_fill_and_in_one_block(spark):
     assert run(spark, texts, 3, pad_zero=False) == brute(texts, 3, pad=False)
 
 
-def test_many_meetings_per_block(spark, monkeypatch):
-    monkeypatch.setattr(topk, "MAX_MEETING_ROWS", 2)
+@pytest.mark.parametrize("side", [1, 2, 5])
+def test_tiles_of_several_blocks(spark, monkeypatch, side):
+    monkeypatch.setattr(topk, "TILE_SIDE", side)
     monkeypatch.setattr(products, "SLICE_ROWS", 3)
     monkeypatch.setattr(topk, "MAX_SLOTS", 3)
     texts = corpus(11)
@@ -169,13 +170,13 @@ def test_plans(spark, monkeypatch):
     monkeypatch.setattr(topk, "freeze", watched(topk.freeze))
     monkeypatch.setattr(topk.Steps, "freeze", watched(topk.Steps.freeze))
     run(spark, corpus(5), 4, block_rows=6)
-    assert {"rows", "groups", "vocabulary", "ordered", "vectors", "own", "peaks", "routes", "lists"} == set(plans)
+    assert {"rows", "groups", "vocabulary", "ordered", "vectors", "own", "peaks", "heads", "met", "ranked", "lists"} == set(plans)
     for plan in plans.values():
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
         assert "BatchEvalPython" not in plan
     limit = plans["groups"].index("row_number(), 5, Partial")
     assert limit > plans["groups"].index("Exchange hashpartitioning(digest")
-    assert "row_number(), 5, Partial" in plans["lists"]
+    assert "row_number(), 5, Partial" in plans["ranked"]
 
 
 def test_blocks_end_at_rows_or_postings(spark, monkeypatch):
