@@ -639,6 +639,27 @@ def content_scores(spark, sf_dir):
     return recommend.score_table(content)
 
 
+@query(f"{_topk_sql(_PART_CORPUS)} SELECT * FROM reco")
+def rescore_batch(spark, sf_dir):
+    """Neighbours of a first load, and of two batches after it that are scored against what is there."""
+    part, state, names = _table(spark, sf_dir, "part"), None, ["p_name", "p_type", "p_brand"]
+    for digits in ((0, 1, 2, 3, 4, 5, 6), (7, 8), (9,)):
+        rows = part.filter((F.col("p_partkey") % 10).isin(*digits))
+        state = state or recommend.score_state(spark, new_folder(spark, "scores"), rows, "p_partkey")
+        recommend.rescore(state, rows, "p_partkey", names)
+    return shapes.as_long(state.neighbours())
+
+
+@query(f"{_topk_sql(_CONTENT_CORPUS)} {_wide_sql('tconst')}")
+def rescored_content(spark, sf_dir):
+    """The score table of a content table that grows by a batch."""
+    content = freeze(_initial(spark, sf_dir)["content"], "content")
+    state = recommend.score_state(spark, new_folder(spark, "scores"), content)
+    recommend.rescore(state, content.filter("startYear < 1950"))
+    recommend.rescore(state, content)
+    return recommend.state_table(state)
+
+
 # --------------------------------------------------------------------------------------------------
 # Reads
 

@@ -14,18 +14,19 @@ from nearfold.operators.counts import token_counts
 from nearfold.operators.joins import HOT_KEYS, spread_lookup
 from nearfold.session import Steps, freeze
 
-RANGES = 200
 _PLACE = (1 << 33) - 1
 
 
-def numbered_terms(terms: DataFrame, first: int = 0, ranges: int = RANGES) -> DataFrame:
+def numbered_terms(terms: DataFrame, first: int = 0, ranges: int | None = None) -> DataFrame:
     """`number` for every row of `terms` (column `term`, each once), from `first` on.
 
-    Other columns stay. One row for each range goes to the driver.
+    Other columns stay. There are as many `ranges` as shuffle partitions, if no number is given; one row
+    for each goes to the driver.
     """
     spark = terms.sparkSession
     with Steps(spark) as steps:
-        ordered = terms.repartitionByRange(ranges, "term").sortWithinPartitions("term")
+        ranged = terms.repartitionByRange(ranges, "term") if ranges else terms.repartitionByRange("term")
+        ordered = ranged.sortWithinPartitions("term")
         ordered = steps.freeze(ordered.withColumn("at", F.monotonically_increasing_id()), "ordered")
         part = F.shiftright("at", 33).alias("part")
         sizes = ordered.groupBy(part).agg(F.count("*").alias("n")).orderBy("part").collect()
@@ -44,10 +45,14 @@ def term_dictionary(counts: DataFrame) -> DataFrame:
     return numbered_terms(counts.groupBy("term").agg(F.count("*").alias("df")))
 
 
-def more_terms(dictionary: DataFrame, counts: DataFrame) -> DataFrame:
-    """`term, df, number` of the terms of new postings that the dictionary lacks; to be added to it."""
+def more_terms(dictionary: DataFrame, counts: DataFrame, size: int | None = None) -> DataFrame:
+    """`term, df, number` of the terms of new postings that the dictionary lacks; to be added to it.
+
+    `size` is the number of terms in the whole dictionary, if only part of it is given.
+    """
     new = counts.groupBy("term").agg(F.count("*").alias("df")).join(dictionary.select("term"), "term", "left_anti")
-    size = dictionary.agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
+    if size is None:
+        size = dictionary.agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
     return numbered_terms(new, size)
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from nearfold.fixed import FEATURE_COLUMNS, LINK_BASE, NEIGHBOURS
 from nearfold.functions.text import combined_text
 from nearfold.operators.reads import get_row
+from nearfold.operators.rescoring import NeighbourState
 from nearfold.operators.shapes import as_links, as_wide, wide_to_arrays
 from nearfold.operators.topk import neighbour_lists
 
@@ -37,6 +38,21 @@ def score_table(content: DataFrame, id_col: str = "tconst", **options) -> DataFr
     return as_wide(recommendations(content, id_col, **options), k, id_col)
 
 
+def score_state(spark: SparkSession, path: str, content: DataFrame, id_col: str = "tconst", k: int = NEIGHBOURS) -> NeighbourState:
+    """The stored state of the recommendations of a growing content table."""
+    return NeighbourState(spark, path, content.schema[id_col].dataType, k)
+
+
+def rescore(state: NeighbourState, content: DataFrame, id_col: str = "tconst", cols: Sequence[str] = FEATURE_COLUMNS) -> None:
+    """Take up the titles of `content` that are not scored yet; lists of others change where these fit in."""
+    state.add(features(content, id_col, cols), id_col, "combined_features")
+
+
+def state_table(state: NeighbourState, id_col: str = "tconst") -> DataFrame:
+    """The recommendation table of a state: id, neighbours, scores, as `score_table` gives it."""
+    return as_wide(state.neighbours(), state.k, id_col)
+
+
 def title_info(content: DataFrame, key: object, id_col: str = "tconst") -> Row:
     """One title's content row; `KeyError` if unknown."""
     return get_row(content, id_col, key)
