@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nearfold.session import freeze
@@ -71,6 +71,39 @@ def _file_numbers(df: DataFrame, path: str, number: str) -> DataFrame | None:
     return df.sparkSession.createDataFrame(numbered, f"{number} bigint, {path} string")
 
 
+def least_hashed(rows: DataFrame, id_col: str, class_col: str, sample: int) -> DataFrame:
+    """Ids and classes of the `sample` rows of each class whose ids have the least hashes; a small table.
+
+    A count of each class gives a bound for the hash that a few times as many rows pass; only these are
+    ranked, so no task gathers the rows of a class, nor each task's best of it. There should be few
+    classes. Rows without an id or a class are left out.
+    """
+    kinds = f"{id_col} {rows.schema[id_col].dataType.simpleString()}, {class_col} {rows.schema[class_col].dataType.simpleString()}"
+    known = rows.select(id_col, class_col).filter(F.col(id_col).isNotNull() & F.col(class_col).isNotNull())
+    counts = {r[0]: r[1] for r in known.groupBy(class_col).agg(F.count("*")).collect()}
+    found: list[tuple] = []
+    factor = 4
+    while counts:
+        bounds = [(c, min(2**64 * factor * sample // n, 2**64 - 1) - 2**63) for c, n in counts.items()]
+        bound = rows.sparkSession.createDataFrame(bounds, f"{kinds.split(', ')[1]}, most bigint")
+        hashed = known.withColumn("hashed", F.xxhash64(id_col)).join(F.broadcast(bound), class_col)
+        ranked = Window.partitionBy(class_col).orderBy("hashed", id_col)
+        best = hashed.filter("hashed <= most").withColumn("nth", F.row_number().over(ranked)).filter(F.col("nth") <= sample)
+        held = [tuple(r) for r in best.select(id_col, class_col).collect()]
+        got = {c: sum(1 for x in held if x[1] == c) for c in counts}
+        enough = {c for c, n in counts.items() if got[c] >= min(sample, n)}
+        found += [x for x in held if x[1] in enough]
+        counts = {c: n for c, n in counts.items() if c not in enough}
+        factor *= 8
+    return rows.sparkSession.createDataFrame(found, kinds)
+
+
+def some_of_each(rows: DataFrame, keys: list[str], value: str, most: int = 8) -> DataFrame:
+    """At most `most` rows for each combination of keys, those with the least `value`."""
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(value))
+    return rows.withColumn("nth", nth).filter(F.col("nth") <= most).drop("nth")
+
+
 def raw_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string or binary column; a null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

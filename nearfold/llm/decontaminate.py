@@ -26,6 +26,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -37,8 +38,12 @@ _U = np.uint64
 WALKS = 8
 SAMPLES = 8
 DEPTH = 3
+#: Items of fewer words are searched without edits; of fewer than `LEAST_WORDS`, which stand in many
+#: texts by chance, only a text that has no other words counts.
 MIN_WORDS = 8
-BLOCK_BYTES = 4 << 20
+LEAST_WORDS = 5
+#: Keys that the items of a block put into the index, twelve bytes each.
+KEYS_PER_BLOCK = 4_000_000
 _BITS = 22
 _WINDOWS = 20_000
 _WORDS = 2_000_000
@@ -93,14 +98,14 @@ class Items:
         ends = np.cumsum(counts)
         split = [words[z - n : z] for z, n in zip(ends.tolist(), counts.tolist(), strict=True)]
         self.max_error = max_error
-        self.whole = defaultdict(list)  # too short to tell a leak from chance: the whole text must agree
+        self.exact: dict[int, dict[bytes, list[int]]] = {}  # short items by their number of words
         rows = [(r.item_id, w) for r, w in zip(rows, split, strict=True) if len(w)]
         rows.sort(key=lambda r: len(r[1]) < MIN_WORDS)  # short ones last
         self.ids, self.lengths = [r[0] for r in rows], [len(r[1]) for r in rows]
         self.words = [w for _, w in rows if len(w) >= MIN_WORDS]
         for k, (_, w) in enumerate(rows):
             if len(w) < MIN_WORDS:
-                self.whole[w.tobytes()].append(k)
+                self.exact.setdefault(len(w), {}).setdefault(w.tobytes(), []).append(k)
         self.sizes = np.array([len(w) for w in self.words], dtype=np.int64)
         self.edits = np.floor(self.sizes * max_error).astype(np.int64)
         self.known = np.zeros(1 << _BITS, dtype=bool)
@@ -124,25 +129,26 @@ class Items:
         rng = np.random.default_rng([walk, int(self.sizes[band].min())])
         return np.sort(rng.integers(0, self.steps(band), (SAMPLES, DEPTH)), axis=1)
 
-    def _keys(self, band: np.ndarray) -> list[list[tuple[np.ndarray, dict[int, list[int]]]]]:
-        """Samples of the items' walks, also of those that skip words in front."""
+    def _keys(self, band: np.ndarray) -> list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """Samples of the items' walks, also of those that skip words in front: tags, sorted keys, their items."""
         flat = np.concatenate([self.words[k] for k in band])
         skips = 2 * self.edits[band] + 1
         stops = np.repeat(np.cumsum(self.sizes[band]), skips)
         skipped = ragged(np.zeros(len(band), dtype=np.int64), skips)
         starts = stops - np.repeat(self.sizes[band], skips) + skipped
-        owners = np.repeat(band, skips).tolist()
+        owners = np.repeat(band, skips)
         found = []
         for walk in range(WALKS):
             written = walks(flat, starts, stops, walk, self.steps(band))
             per_sample = []
             for steps in self.samples(band, walk):
-                index: dict[int, list[int]] = defaultdict(list)
-                for k, key in zip(owners, _sampled(written, steps).tolist(), strict=True):
-                    index[key].append(k)
+                keys = _sampled(written, steps)
+                order = np.lexsort((owners, keys))
+                keys, items = keys[order], owners[order]
+                new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (items[1:] != items[:-1])])
                 tags = np.zeros(1 << _TAGS, dtype=bool)
-                tags[np.array(list(index), dtype=_U) >> _U(64 - _TAGS)] = True
-                per_sample.append((tags, {key: sorted(set(ks)) for key, ks in index.items()}))
+                tags[keys >> _U(64 - _TAGS)] = True
+                per_sample.append((tags, keys[new], items[new].astype(np.int32)))
             found.append(per_sample)
         return found
 
@@ -169,10 +175,10 @@ def _windows(items: Items, band: np.ndarray, words: np.ndarray, counts: np.ndarr
     return np.flatnonzero(hits & (inside >= need))
 
 
-def candidates(items: Items, words: np.ndarray, counts: np.ndarray) -> set[tuple[int, int]]:
-    """Pairs of a place in `words` and an item that agree on a sample."""
-    ends = np.cumsum(counts)
-    found = set()
+def candidates(items: Items, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Rows of a place in `words` and an item that agree on a sample, in order."""
+    ends, n_items = np.cumsum(counts), max(len(items.words), 1)
+    found = [np.zeros(0, dtype=np.int64)]
     for band, keys in zip(items.bands, items.keys, strict=True):
         starts = _windows(items, band, words, counts)
         for a in range(0, len(starts), _WINDOWS):
@@ -180,12 +186,14 @@ def candidates(items: Items, words: np.ndarray, counts: np.ndarray) -> set[tuple
             stops = ends[np.searchsorted(ends, some, "right")]
             for walk in range(WALKS):
                 written = walks(words, some, stops, walk, items.steps(band))
-                for steps, (tags, index) in zip(items.samples(band, walk), keys[walk], strict=True):
+                for steps, (tags, known, owners) in zip(items.samples(band, walk), keys[walk], strict=True):
                     key = _sampled(written, steps)
                     near = np.flatnonzero(tags[key >> _U(64 - _TAGS)])
-                    for at, exact in zip(some[near].tolist(), key[near].tolist(), strict=True):
-                        found.update((at, k) for k in index.get(exact, ()))
-    return found
+                    first = np.searchsorted(known, key[near])
+                    hits = np.searchsorted(known, key[near], "right") - first
+                    found.append(np.unique(np.repeat(some[near], hits) * n_items + owners[ragged(first, hits)]))
+    codes = np.unique(np.concatenate(found))
+    return np.stack([codes // n_items, codes % n_items], axis=1)
 
 
 def distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -204,7 +212,7 @@ def matches(items: Items, words: np.ndarray, counts: np.ndarray) -> list[tuple[i
     """Text number, item, distance and number of the last word, the best for each text and item."""
     begins = np.cumsum(counts) - counts
     places: dict[tuple[int, int], list[int]] = defaultdict(list)
-    found = np.array(sorted(candidates(items, words, counts)), dtype=np.int64).reshape(-1, 2)
+    found = candidates(items, words, counts)
     texts = np.searchsorted(np.cumsum(counts), found[:, 0], "right")
     for text, (at, k) in zip(texts.tolist(), found.tolist(), strict=True):
         places[text, k].append(at)
@@ -230,14 +238,25 @@ def matches(items: Items, words: np.ndarray, counts: np.ndarray) -> list[tuple[i
 
 
 def _equal(items: Items, words: np.ndarray, counts: np.ndarray) -> list[tuple[int, int, int, int]]:
-    found = []
-    if items.whole:
-        ends = np.cumsum(counts)
-        for text in np.flatnonzero((counts > 0) & (counts < MIN_WORDS)).tolist():
-            n = int(counts[text])
-            same = items.whole.get(words[ends[text] - n : ends[text]].tobytes(), [])
-            found += [(text, k, 0, n - 1) for k in same]
-    return found
+    """Short items: the first place in each text that has exactly their words."""
+    ends = np.cumsum(counts)
+    found: dict[tuple[int, int], int] = {}
+    for n, known in items.exact.items():
+        if n > len(words):
+            continue
+        starts = np.arange(len(words) - n + 1)
+        text = np.searchsorted(ends, starts, "right")
+        inside = starts + n <= ends[text]
+        if n < LEAST_WORDS:
+            inside &= counts[text] == n
+        starts = starts[inside]
+        first = np.array([np.frombuffer(w, dtype=_U)[0] for w in known], dtype=_U)
+        starts = starts[np.isin(words[starts], first)]
+        for at in starts.tolist():
+            for k in known.get(words[at : at + n].tobytes(), ()):
+                t = int(np.searchsorted(ends, at, "right"))
+                found.setdefault((t, k), at + n - 1 - int(ends[t] - counts[t]))
+    return [(t, k, 0, last) for (t, k), last in found.items()]
 
 
 def _gathered(
@@ -258,14 +277,15 @@ def _gathered(
         yield pa.Table.from_batches(parts), np.concatenate(words), np.concatenate(counts)
 
 
-def _blocks(items: DataFrame, max_error: float, id_col: str, text_col: str) -> Iterator[Items]:
-    """The items in blocks of bounded size; each is sent to all tasks in its turn."""
+def _blocks(items: DataFrame, max_error: float, id_col: str, text_col: str) -> Iterator[Broadcast]:
+    """The items in blocks whose index has a bounded size; each is sent to all tasks in its turn."""
     rows = items.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
+    words = F.size(F.split(F.coalesce("text", F.lit("")), " "))
+    keys = WALKS * SAMPLES * (2 * F.floor(words * max_error) + 1)
+    blocks = max(1, -(-(rows.agg(F.sum(keys)).first()[0] or 0) // KEYS_PER_BLOCK))
     for block in range(blocks):
         part = rows if blocks == 1 else rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        yield Items(part.collect(), max_error)
+        yield items.sparkSession.sparkContext.broadcast(Items(part.collect(), max_error))
 
 
 def find_leaks(
@@ -281,9 +301,10 @@ def find_leaks(
 
     `distance` counts inserted, deleted and replaced words of the item's best alignment within the
     document, at most `max_error` of the item's words; `last_word` is the number of the word where it
-    ends, from 0. Words are runs of letters and digits; case and marks do not count. Items of fewer
-    than `MIN_WORDS` words match only a document that has the same words and no others (distance 0).
-    Items and documents without words match nothing. Equal items, equal documents and null ids each
+    ends, from 0. Words are runs of ASCII letters and digits and of all other characters beyond ASCII;
+    ASCII marks do not count, nor the case of ASCII and Latin-1 letters. Items of fewer than `MIN_WORDS`
+    words are found only without edits, and those of fewer than `LEAST_WORDS` only where a document has
+    the same words and no others. Items and documents without words match nothing. Equal items, equal documents and null ids each
     count for themselves. Other columns are not read.
     """
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema[item_id_col].dataType.simpleString()
@@ -297,8 +318,9 @@ def find_leaks(
     return out
 
 
-def _find(items: Items, item_type: pa.DataType):
+def _find(block: Broadcast, item_type: pa.DataType):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = block.value
         for rows, words, counts in _gathered(batches, "text"):
             found = sorted(matches(items, words, counts))
             text, item, errors, last = zip(*found, strict=True) if found else ((),) * 4
@@ -325,14 +347,19 @@ def clean_documents(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """The rows of `docs` in which `find_leaks` finds nothing, with all their columns."""
+    """The rows of `docs` in which `find_leaks` finds nothing, with all their columns.
+
+    A null or empty text holds nothing and stays; equal rows go or stay together; without items all
+    rows stay.
+    """
     for block in _blocks(items, max_error, item_id_col, item_text_col):
         docs = docs.mapInArrow(_clean(block, docs.columns.index(text_col)), docs.schema)
     return docs
 
 
-def _clean(items: Items, column: int):
+def _clean(block: Broadcast, column: int):
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = block.value
         first = next(batches, None)
         if first is not None:
             name = first.schema.names[column]

@@ -7,8 +7,7 @@ chains that are pieced together from texts of several languages. Marginals come
 forward-backward. Chains are cut every `CHAIN` words, so memory does not grow with a text, and all
 words of a text count.
 
-Training reads a bounded sample: `SAMPLE` texts of each language, `SAMPLE_WORDS` words of each, taken
-in equal steps from the whole text.
+Training reads a bounded sample of rows, `SAMPLE` texts of each language, and the whole of each text.
 """
 
 from __future__ import annotations
@@ -18,15 +17,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearfold.llm.batches import ragged, slices
+from nearfold.llm.batches import least_hashed, ragged, slices, some_of_each
 from nearfold.llm.words import MARKS, located_words, mix
 
 _U = np.uint64
-SAMPLE = 300
-SAMPLE_WORDS = 200
+SAMPLE = 200
 CHAIN = 64
 UNKNOWN = "und"
 _BITS = 17
@@ -227,39 +225,16 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     sample: int = SAMPLE,
-    sample_words: int = SAMPLE_WORDS,
 ) -> Field:
     """A chain of the languages in `docs`, from at most `sample` texts of each.
 
-    The texts are those with the least hash of their id; null languages and null ids are left out.
+    The texts are those with the least hash of their id; null languages and null ids are left out. Of
+    rows with one id and language at most eight are learned from.
     """
-    by = Window.partitionBy("lang").orderBy("h", "id")
-    known = docs.filter(F.col(lang_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h")
-    )
-    # The rank limit is applied before the shuffle too, so a language of any size sends few rows.
-    chosen = known.withColumn("nth", F.row_number().over(by)).filter(F.col("nth") <= sample)
-    chosen = F.broadcast(chosen.select("id", "lang"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, raws in slices(batches, "text"):
-            kept = [_spread(raw.split(), sample_words) for raw in raws]
-            columns = [batch.column(0), batch.column(1), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "lang", "text"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    joined = rows.join(chosen, ["id", "lang"]).select("id", "lang", "text")
-    found = joined.mapInArrow(cut, f"id {kind}, lang string, text binary").orderBy("lang", "id", "text").collect()
-    return train([bytes(r.text) for r in found], [r.lang for r in found])
-
-
-def _spread(words: list[bytes], most: int) -> bytes:
-    """At most `most` words, in runs of a piece's length from equal steps through the text."""
-    if len(words) <= most:
-        return b" ".join(words)
-    runs = most // _PIECE
-    return b" ".join(w for k in range(runs) for w in words[k * len(words) // runs :][:_PIECE])
+    chosen = F.broadcast(least_hashed(rows, "id", "lang", sample).distinct())  # `sample` pairs of each language at most
+    found = some_of_each(rows.join(chosen, ["id", "lang"]), ["id", "lang"], "text").orderBy("lang", "id", "text").collect()
+    return train([(r.text or "").encode() for r in found], [r.lang for r in found])
 
 
 def predict(docs: DataFrame, model: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,8 +3,8 @@
 Documents longer than the bound are cut into full pieces and a rest; nothing else is cut. Full pieces
 are sequences by themselves. The other pieces meet in groups of bounded size: best fit by falling
 length fills bins, then a local search moves pieces between bins that are not full, always raising
-the sum of squared fills, until bins run empty. The pieces of each group's least filled bins meet
-again in fewer groups, until one group is left.
+the sum of squared fills, until bins run empty. The pieces of all bins that are not nearly full meet
+again, dealt anew to groups of the same size, as long as that closes bins, or until one group is left.
 
 Null texts are empty and hold the end id alone; an empty table gives no rows; repeated rows are
 packed each for itself. Columns other than id and text are not read.
@@ -28,6 +28,9 @@ from nearfold.session import freeze
 SEQUENCE = 4096
 END_ID = 1
 GROUP_PIECES = 16_384
+#: A bin filled to this share is left as it is; a round that saves less than this share of its bins is the last.
+NEARLY_FULL = 63 / 64
+LEAST_GAIN = 0.005
 
 
 def token_pieces(
@@ -158,7 +161,7 @@ def _step(
 
 
 def _packed(
-    pieces: DataFrame, groups: int, level: int, capacity: int, keep_open: int
+    pieces: DataFrame, groups: int, level: int, capacity: int, keep_open: int | None
 ) -> DataFrame:
     """One round: `row, length, level, grp, bin, up`; the pieces with `up` meet again."""
 
@@ -167,9 +170,8 @@ def _packed(
         lengths = group["length"].to_numpy(np.int64)
         bins = local_search(lengths, best_fit(lengths, capacity), capacity)
         fill = np.bincount(bins, weights=lengths).astype(np.int64)
-        fill[fill == capacity] = 0
-        loose = np.argsort(np.where(fill > 0, fill, capacity + 1), kind="stable")
-        loose = loose[fill[loose] > 0][:keep_open]
+        loose = np.argsort(fill, kind="stable")
+        loose = loose[(fill[loose] > 0) & (fill[loose] < NEARLY_FULL * capacity)][:keep_open]
         return pd.DataFrame(
             {
                 "row": group["row"],
@@ -187,26 +189,28 @@ def _packed(
 
 
 def pack_pieces(
-    pieces: DataFrame, capacity: int = SEQUENCE, group_pieces: int = GROUP_PIECES, keep_open: int = 64
+    pieces: DataFrame, capacity: int = SEQUENCE, group_pieces: int = GROUP_PIECES, keep_open: int | None = None
 ) -> DataFrame:
     """`row, level, grp, bin` for pieces `row, length` shorter than `capacity`.
 
-    Every group that is not the last hands on the pieces of its `keep_open` least filled bins.
+    Every group that is not the last hands on the pieces of its bins that are not `NEARLY_FULL`; with
+    `keep_open` of so many of them, the least filled. No group is larger than about `group_pieces`.
     """
-    done, level = None, 0
+    done, level, before = None, 0, None
     count = pieces.count()
     while True:
         groups = max(1, -(-count // group_pieces))
         step = freeze(_packed(pieces, groups, level, capacity, 0 if groups == 1 else keep_open), "packing")
-        kept = step.filter(~F.col("up")).select("row", "length", "level", "grp", "bin")
+        bins = step.select("grp", "bin", "up").distinct().groupBy("up").count().collect()
+        loose = sum(r["count"] for r in bins if r.up)
+        # What came in filled `before` bins; if these are hardly fewer now, the rest stays as it is.
+        over = not loose or before is not None and sum(r["count"] for r in bins) > (1 - LEAST_GAIN) * before
+        kept = (step if over else step.filter(~F.col("up"))).select("row", "length", "level", "grp", "bin")
         done = kept if done is None else done.unionByName(kept)
-        pieces = step.filter("up").select("row", "length")
-        handed_on = 0 if groups == 1 else pieces.count()
-        if not handed_on:
+        if over:
             return done
-        if handed_on > 0.8 * count:  # groups hardly close any bin: larger ones would not help
-            group_pieces *= 2
-        count, level = handed_on, level + 1
+        pieces = step.filter("up").select("row", "length")
+        count, level, before = pieces.count(), level + 1, loose
 
 
 def pack_documents(

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearfold.llm.batches import slices
+from nearfold.llm.batches import least_hashed, slices, some_of_each
 from nearfold.llm.words import located_words
 
 #: Most labelled texts of each class in the sample; the bound of what is collected and broadcast.
@@ -126,14 +126,12 @@ def fit(
 ) -> Model:
     """A model of at most `sample` texts of each label 0 and 1, those with the least hash of their id.
 
-    Labels without an id, a text row or a value of 0 or 1 are left out.
+    Labels without an id, a text row or a value of 0 or 1 are left out. Of rows of `docs` that share
+    an id at most eight are learned from.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.filter("id is not null and label in (0, 1)")
-    picked = [
-        known.filter(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(sample) for c in (0, 1)
-    ]
-    chosen = F.broadcast(picked[0].unionByName(picked[1]))  # twice `sample` pairs of numbers at most
+    chosen = F.broadcast(least_hashed(known.distinct(), "id", "label", sample))  # twice `sample` pairs at most
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +143,8 @@ def fit(
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = rows.select("id", "text", "label").mapInArrow(measure, f"id {kind}, label int, row binary")
-    found = rows.orderBy("id", "label", "row").limit(2 * sample).collect()  # ids may repeat in `docs`
+    # Ids may repeat in `docs`: of the rows with one id eight are learned from.
+    found = some_of_each(rows, ["id", "label"], "row").orderBy("id", "label", "row").collect()
     matrix = np.array([np.frombuffer(r.row, dtype=np.float32) for r in found]).reshape(len(found), _WIDTH)
     return fit_rows(matrix, np.array([r.label for r in found], dtype=np.int64))
 

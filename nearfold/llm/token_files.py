@@ -72,7 +72,7 @@ def write_token_files(
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """`doc_id, row, ids, file`. A filter on `doc_id` reaches the stripes' statistics and filters."""
+    """`doc_id, row, ids, file` of files whose ids are whole numbers. A filter on `doc_id` reaches the stripes' statistics and filters."""
     files = spark.read.schema("doc_id bigint, row bigint, ids array<int>").orc(path)
     return files.withColumn("file", F.col("_metadata.file_name"))
 
@@ -94,9 +94,13 @@ def checksums(files: DataFrame) -> DataFrame:
 
 
 def positions(rows: DataFrame) -> DataFrame:
-    """Adds `start`, the ids of all rows before: sums within each file after sums over the files."""
+    """Adds `start`, the ids of all rows before: sums within each file after sums over the files.
+
+    Files follow one another by their part number, which grows beyond the five digits it is padded to.
+    """
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("total"))
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    part = F.regexp_extract("file", r"^part-(\d+)", 1).try_cast("bigint")
+    earlier = Window.orderBy(part, "file").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("file", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base"))
     within = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     inside = rows.withColumn("inside", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))

@@ -38,8 +38,10 @@ def brute(docs, items, max_error=0.25):
                 n, end = align(want, words)
                 if n <= int(len(want) * max_error):
                     out.append((d, i, n, len(want), end))
-            elif want and want == words:
-                out.append((d, i, 0, len(want), len(want) - 1))
+            elif want and len(want) < 8:
+                at = [k for k in range(len(words)) if words[k : k + len(want)] == want]
+                if at and (len(want) >= 5 or want == words):
+                    out.append((d, i, 0, len(want), at[0] + len(want) - 1))
     return sorted(out, key=str)
 
 
@@ -119,7 +121,7 @@ def test_blocks_of_items(spark, monkeypatch):
     vocabulary = [f"w{k}" for k in range(900)]
     items = [(k, " ".join(rng.choices(vocabulary, k=20))) for k in range(40)]
     docs = [(k, " ".join(rng.choices(vocabulary, k=10)) + " " + t) for k, t in items]
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(decontaminate, "KEYS_PER_BLOCK", 9_000)
     found, clean = find(spark, docs, items)
     assert found == brute(docs, items) and clean == [] and len(found) == 40
 
@@ -128,3 +130,27 @@ def test_distance():
     a = np.array([1, 2, 3, 4], dtype=np.uint64)
     assert decontaminate.distance(a, np.array([9, 1, 2, 4, 9], dtype=np.uint64)) == (1, 4)
     assert decontaminate.distance(a, np.array([], dtype=np.uint64)) == (4, 0)
+
+
+def test_short_items_inside_texts(spark):
+    """From five words on an item is found wherever it stands; shorter ones must be the whole text."""
+    items = [(5, "One two three four five"), (6, "a b c d e f"), (4, "tiny little short item"), (7, "a b c d e f g")]
+    docs = [
+        (1, "x one two, three four FIVE. one two three four five y"), (2, "one two three four x five"), (3, "A b c d e f"),
+        (4, "so a b c d e f g h"), (5, "the tiny little short item"), (6, "Tiny little; short item!"), (7, "one two three"),
+        (8, "four five"), (9, "a b c d e"),
+    ]
+    found, clean = find(spark, docs, items)
+    assert found == brute(docs, items)
+    assert [f[:2] for f in found] == [(1, 5), (3, 6), (4, 6), (4, 7), (6, 4)]
+    assert sorted(r.doc_id for r in clean) == [2, 5, 7, 8, 9]
+
+
+def test_index_size_is_bounded():
+    """A block's index is arrays of about twelve bytes a key, and blocks are cut by their keys."""
+    rng = random.Random(5)
+    rows = [type("R", (), {"item_id": k, "text": " ".join(f"w{rng.randrange(9999)}" for _ in range(30))})() for k in range(300)]
+    block = Items(rows, 0.25)
+    size = sum(a.nbytes for band in block.keys for walk in band for sample in walk for a in sample[1:])
+    keys = 300 * decontaminate.WALKS * decontaminate.SAMPLES * 15
+    assert size <= 12 * keys

@@ -132,3 +132,26 @@ def test_groups_hand_on_their_loose_bins(spark):
     out = placed.join(df, "row").collect()
     assert len(out) == 3000
     assert check_packing(out) <= -(-sum(n for _, n in rows) // 4096) * 1.01 + 1
+
+
+def test_loose_bins_of_all_groups_meet(spark):
+    """Pieces of which two or three fill a bin badly: many groups do about as well as a single one."""
+    rng = np.random.default_rng(3)
+    rows = [(i, int(n)) for i, n in enumerate(rng.integers(1000, 2000, 4000))]
+    df = spark.createDataFrame(rows, "row bigint, length bigint")
+
+    def bins(**options):
+        out = packing._offsets(packing.pack_pieces(df, 4096, **options)).join(df, "row").collect()
+        assert len(out) == 4000
+        return check_packing(out)
+
+    alone = bins(group_pieces=4000)
+    assert bins(group_pieces=250) <= alone * 1.02 < bins(group_pieces=250, keep_open=2) * 1.02
+
+
+def test_positions_past_five_digits(spark):
+    """Part numbers are padded to five digits, and go on without that."""
+    names = ["part-00000-x.orc", "part-99999-x.orc", "part-100000-x.orc", "part-100001-x.orc"]
+    rows = [(2 * k + j, name, j, 10) for k, name in enumerate(names) for j in range(2)]
+    df = spark.createDataFrame(rows, "doc_id bigint, file string, row bigint, n_tokens bigint")
+    assert [r.start for r in token_files.positions(df).orderBy("doc_id").collect()] == list(range(0, 80, 10))
