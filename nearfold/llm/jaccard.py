@@ -53,14 +53,15 @@ from nearfold.session import Steps, freeze
 _U = np.uint64
 RANGES = 1 << 12
 LEAST = 2
-ENTRIES_PER_BUCKET = 3_000_000
-FLUSH = 2_000_000
+ENTRIES_PER_BUCKET = 1_000_000
+FLUSH = 700_000
 PAIRS_PER_GROUP = 64
 #: Sets of one task and entry that travel besides the pivot; if more are left, the pivot stands for all.
 UNLIKE = 32
-#: Sets of a tile on either side; their sketches are compared in about a second.
-TILE = 4096
+#: Sets of a tile on either side, or half of those of a group that stands in one tile.
+TILE = 2048
 ROWS_PER_TASK = 20_000
+OTHERS_AT_ONCE = 100_000
 #: Partners of a set that are verified in one round; 0 is all, and comes last.
 ROUNDS = (8, 0)
 
@@ -584,15 +585,15 @@ class JaccardJoin:
         )
         rows = rows.join(mixed.filter("x <> y").select("grp", "lead"), "grp")
         rows = rows.groupBy(F.col("lead").alias("grp"), "did").agg(F.min("odd").alias("odd"))
-        others = rows.join(behind, "did").select("grp", F.col("other").alias("did"), F.lit(False).alias("odd"))
-        rows = rows.select("grp", "did", "odd").unionByName(others).join(comps, "did")
+        rows = self.steps.freeze(rows, "members").unionByName(self.stood_for(rows, behind))
+        rows = rows.groupBy("grp", "did").agg(F.min("odd").alias("odd")).join(comps, "did")
         rows = rows.groupBy("grp", "node").agg(F.min("odd").alias("odd"), F.min("comp").alias("comp"))
         rows = self.steps.freeze(rows, "merged")
         # Sets inside the component that most of a group is in need not meet each other. They stand in
         # slices of their own and meet only those outside, who meet everyone.
         sizes = rows.groupBy("grp", "comp").agg(F.count("*").alias("n"))
         sized = sizes.groupBy("grp").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("all"))
-        small = F.col("all") <= TILE  # one tile holds them all
+        small = F.col("all") <= 2 * TILE  # one tile holds them all
         sized = sized.filter("all > main.n").select(
             "grp", F.col("main.comp").alias("main"),
             F.when(small, 1).otherwise(F.ceil((F.col("all") - F.col("main.n")) / TILE)).cast("int").alias("outside"),
@@ -613,6 +614,20 @@ class JaccardJoin:
         )
         self.tiles = self.steps.freeze(rows.join(placed.drop("did", "comp"), "node"), "tiles")
 
+    def stood_for(self, rows: DataFrame, behind: DataFrame) -> DataFrame:
+        """The sets behind the members of each group, once for a group however many members they are behind.
+
+        They travel packed, in slices so small that a group's slice is about `OTHERS_AT_ONCE` numbers.
+        """
+        sizes = behind.groupBy("did").agg(F.count("*").alias("n"))
+        total = rows.join(sizes, "did").agg(F.sum("n")).first()[0] or 0
+        slices = max(1, -(-total // OTHERS_AT_ONCE))
+        packed = behind.withColumn("slice", F.pmod(F.xxhash64("other"), F.lit(slices))).groupBy("did", "slice")
+        packed = packed.agg(F.collect_list("other").alias("others"))
+        met = rows.select("grp", "did").join(packed, "did").groupBy("grp", "slice")
+        once = met.agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+        return once.select("grp", F.explode("others").alias("did"), F.lit(False).alias("odd"))
+
     def cross_pairs(self, found: DataFrame, limit: int) -> DataFrame:
         """Pairs of nodes in one tile that may be similar and lie in different components by now.
 
