@@ -585,7 +585,12 @@ class JaccardJoin:
         )
         rows = rows.join(mixed.filter("x <> y").select("grp", "lead"), "grp")
         rows = rows.groupBy(F.col("lead").alias("grp"), "did").agg(F.min("odd").alias("odd"))
-        rows = self.steps.freeze(rows, "members").unionByName(self.stood_for(rows, behind))
+        # What many sets share has many entries, whose groups differ in a few members: those with one
+        # member of least hash become one, too.
+        leads = rows.groupBy("grp").agg(F.min_by("did", F.xxhash64("did")).alias("lead"))
+        rows = rows.join(leads, "grp").groupBy(F.col("lead").alias("grp"), "did").agg(F.min("odd").alias("odd"))
+        rows = self.steps.freeze(rows, "members")
+        rows = rows.unionByName(self.stood_for(rows, behind))
         rows = rows.groupBy("grp", "did").agg(F.min("odd").alias("odd")).join(comps, "did")
         rows = rows.groupBy("grp", "node").agg(F.min("odd").alias("odd"), F.min("comp").alias("comp"))
         rows = self.steps.freeze(rows, "merged")
