@@ -144,9 +144,13 @@ def fit(
     kind = docs.schema[id_col].dataType.simpleString()
     rows = rows.select("id", "text", "label").mapInArrow(measure, f"id {kind}, label int, row binary")
     # Ids may repeat in `docs`: of the rows with one id eight are learned from.
-    found = some_of_each(rows, ["id", "label"], "row").orderBy("id", "label", "row").collect()
-    matrix = np.array([np.frombuffer(r.row, dtype=np.float32) for r in found]).reshape(len(found), _WIDTH)
-    return fit_rows(matrix, np.array([r.label for r in found], dtype=np.int64))
+    # They come as one Arrow table whose values are the matrix; as rows they would stand in memory twice more.
+    found = some_of_each(rows, ["id", "label"], "row").orderBy("id", "label", "row").select("label", "row").toArrow()
+    known = found.column("label").to_numpy().astype(np.int64)
+    data = found.column("row").combine_chunks().cast(pa.binary(4 * _WIDTH)) if len(known) else None
+    if data is None:
+        return fit_rows(np.zeros((0, _WIDTH), dtype=np.float32), known)
+    return fit_rows(np.frombuffer(data.buffers()[1], dtype=np.float32)[: len(known) * _WIDTH].reshape(-1, _WIDTH), known)
 
 
 def _score(model: Model, text: str):
