@@ -104,12 +104,15 @@ def fit_rows(rows: np.ndarray, labels: np.ndarray) -> Model:
         return Model(np.ones(_WIDTH, np.float32), np.zeros((_WIDTH, 1), np.float32), none, labels, np.zeros(0))
     held = (rows > 0).sum(axis=0)
     rarity = (1.0 + np.log((1 + len(rows)) / (1 + held))).astype(np.float32)
-    weighted = rows * rarity
     # The Gram matrix is as wide as the features, however many texts there are.
-    values, vectors = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))
+    gram = np.zeros((rows.shape[1], rows.shape[1]))
+    for a in range(0, len(rows), _BLOCK):
+        weighted = rows[a : a + _BLOCK] * rarity
+        gram += weighted.T @ weighted
+    _, vectors = np.linalg.eigh(gram)
     basis = vectors[:, ::-1][:, : min(DIMENSIONS, len(rows))].astype(np.float32)
     model = Model(rarity, basis, np.zeros((0, 1)), labels, np.zeros(0))
-    model.vectors = model.embed(rows)
+    model.vectors = np.concatenate([model.embed(rows[a : a + _BLOCK]) for a in range(0, len(rows), _BLOCK)])
     # Classes vote as if they were equally frequent in the sample.
     share = np.array([max((labels == c).mean(), 1e-9) for c in (0, 1)])
     model.weights = 0.5 / share[labels]
@@ -144,13 +147,16 @@ def fit(
     kind = docs.schema[id_col].dataType.simpleString()
     rows = rows.select("id", "text", "label").mapInArrow(measure, f"id {kind}, label int, row binary")
     # Ids may repeat in `docs`: of the rows with one id eight are learned from.
-    # They come as one Arrow table whose values are the matrix; as rows they would stand in memory twice more.
+    # As an Arrow table, put into the matrix piece by piece: as rows they would stand in memory three times.
     found = some_of_each(rows, ["id", "label"], "row").orderBy("id", "label", "row").select("label", "row").toArrow()
     known = found.column("label").to_numpy().astype(np.int64)
-    data = found.column("row").combine_chunks().cast(pa.binary(4 * _WIDTH)) if len(known) else None
-    if data is None:
-        return fit_rows(np.zeros((0, _WIDTH), dtype=np.float32), known)
-    return fit_rows(np.frombuffer(data.buffers()[1], dtype=np.float32)[: len(known) * _WIDTH].reshape(-1, _WIDTH), known)
+    matrix, at = np.empty((len(known), _WIDTH), dtype=np.float32), 0
+    for part in found.to_batches(max_chunksize=_BLOCK):
+        held = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.float32).reshape(-1, _WIDTH)
+        matrix[at : at + len(held)] = held
+        at += len(held)
+    del found
+    return fit_rows(matrix, known)
 
 
 def _score(model: Model, text: str):
