@@ -105,7 +105,7 @@ def fit_rows(rows: np.ndarray, labels: np.ndarray) -> Model:
     held = (rows > 0).sum(axis=0)
     rarity = (1.0 + np.log((1 + len(rows)) / (1 + held))).astype(np.float32)
     # The Gram matrix is as wide as the features, however many texts there are.
-    gram = np.zeros((rows.shape[1], rows.shape[1]))
+    gram = np.zeros((rows.shape[1], rows.shape[1]), dtype=np.float32)
     for a in range(0, len(rows), _BLOCK):
         weighted = rows[a : a + _BLOCK] * rarity
         gram += weighted.T @ weighted
