@@ -207,3 +207,15 @@ def test_steps_are_removed(spark):
     before = set(folder.glob("steps-*")) if folder.exists() else set()
     run(spark, corpus(9, 30), 3, block_rows=6)
     assert set(folder.glob("steps-*")) == before
+
+
+def test_wide_tiles_hold_many_blocks(spark, monkeypatch):
+    # Blocks travel once for each tile; with many blocks of bounded size on a side they meet in few tiles.
+    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma"]
+    rows = [(i, " ".join(words[(i * j) % 6] for j in range(1, 4)) + f" w{i % 45}") for i in range(120)]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    plain = sorted(topk.cosine_topk(df, "id", "text", 5, block_rows=200).collect())
+    monkeypatch.setattr(topk, "MAX_BLOCK_POSTINGS", 30)
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", property(lambda self: 1))
+    with_tiles = topk.cosine_topk(df, "id", "text", 5, block_rows=4)
+    assert sorted(with_tiles.collect()) == plain
