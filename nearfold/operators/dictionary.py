@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearfold.operators.counts import token_counts
-from nearfold.operators.joins import HOT_KEYS, spread_lookup
 from nearfold.session import Steps, freeze
 
 _PLACE = (1 << 33) - 1
+# A broadcast of terms holds fewer than this.
+FREQUENT = 1 << 16
 
 
 def numbered_terms(terms: DataFrame, first: int = 0, ranges: int | None = None) -> DataFrame:
@@ -59,13 +60,14 @@ def more_terms(dictionary: DataFrame, counts: DataFrame, size: int | None = None
 def sparse_postings(counts: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Postings `id, ..., tf` with the term's `number` and `df` in place of the term.
 
-    Terms in more than a thousandth of the postings are broadcast, the others are joined by shuffle.
+    Terms in more than 1/`FREQUENT` of the postings, fewer than so many, are broadcast; in texts these are nearly
+    all postings. Only the others are joined by shuffle. `counts` is read twice.
     """
-    id_col = counts.columns[0]
-    total = dictionary.agg(F.sum("df")).scalar()
-    is_hot = F.col("df") * HOT_KEYS > total
-    numbered = spread_lookup(counts, dictionary.select("term", "df", "number"), "term", is_hot, spread_by=id_col)
-    return numbered.drop("term")
+    frequent = F.col("df") * FREQUENT > dictionary.agg(F.sum("df")).scalar()
+    terms = dictionary.select("term", "df", "number")
+    hot = F.broadcast(terms.filter(frequent))
+    rest = counts.join(hot.select("term"), "term", "left_anti").join(terms.filter(~frequent), "term")
+    return counts.join(hot, "term").unionByName(rest).drop("term")
 
 
 def sparse_rows(df: DataFrame, id_col: str, text_col: str, min_len: int = 2) -> tuple[DataFrame, DataFrame]:

@@ -219,3 +219,20 @@ def test_wide_tiles_hold_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", property(lambda self: 1))
     with_tiles = topk.cosine_topk(df, "id", "text", 5, block_rows=4)
     assert sorted(with_tiles.collect()) == plain
+
+
+def test_frequent_terms_are_numbered_without_a_shuffle(spark, monkeypatch):
+    from nearfold.operators import dictionary
+
+    rows = [(i, t, 1 + i % 2) for i in range(20) for t in ("the", f"w{i % 10}")]
+    counts = spark.createDataFrame(rows, "id bigint, term string, tf bigint")
+    terms = dictionary.term_dictionary(counts)
+    number = {r.term: (r.number, r.df) for r in terms.collect()}
+    # With a bound of 3, one term is frequent; the shuffled side leaves it out.
+    for bound in (1, 3, 1 << 16):
+        monkeypatch.setattr(dictionary, "FREQUENT", bound)
+        found = dictionary.sparse_postings(counts, terms)
+        assert sorted((r.id, r.number, r.df, r.tf) for r in found.collect()) == sorted(
+            (i, *number[t], tf) for i, t, tf in rows
+        )
+        assert "_hot" not in plan_of(found) and "Union" in plan_of(found)
