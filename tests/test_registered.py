@@ -47,3 +47,21 @@ def test_same_rows_as_sql(spark, duck, name):
 
 def test_entry(spark):
     assert registered.entry(spark).columns == ["target_id", "rank", "other_id", "score"]
+
+
+def test_refresh_reads_the_lines_once_for_each_dump(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as entry
+
+    lines = "SELECT id % 5 AS l_partkey, id % 7 AS l_suppkey, 1.0D AS l_quantity FROM range(40)"
+    parts = "SELECT id AS p_partkey, 'a b' AS p_name, 'SMALL' AS p_type, 'Brand#7' AS p_brand, 3 AS p_size, 900.0D AS p_retailprice FROM range(5)"
+    for name, sql in {"lineitem": lines, "part": parts, "supplier": "SELECT id AS s_suppkey, 'n' AS s_name FROM range(7)"}.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    batch, sides = entry.ingest.run_batch, []
+
+    def seen(spark, store, titles, crew, ratings, names, **options):
+        sides.extend([*crew.inputFiles(), *ratings.inputFiles()])
+        batch(spark, store, titles, crew, ratings, names, **options)
+
+    monkeypatch.setattr(entry.ingest, "run_batch", seen)
+    assert entry.title_refresh(spark, str(tmp_path)).count() == 5
+    assert sides and not any("lineitem" in f for f in sides)
