@@ -448,12 +448,12 @@ def _mixed_pairs(percent: int, limit: int):
     def mixed_pairs(key: tuple, group: pa.Table) -> pa.Table:
         """Pairs of one tile to verify, and each set that any allowed pair holds as a pair with itself."""
         i, j = key[1].as_py(), key[2].as_py()
-        node, first = np.unique(group.column("node").to_numpy(), return_index=True)
-        once = group.take(pa.array(first))
-        members = _Members(*(once.column(c).to_pylist() for c in ("n", "comp", "low", "high")), percent, limit)
-        place = np.searchsorted(node, group.column("node").to_numpy())
-        names, block = group.column("grp").to_numpy(), group.column("block").to_numpy()
-        odd = group.column("odd").to_numpy(zero_copy_only=False)
+        group = group.sort_by("node").combine_chunks()
+        node = group.column("node").to_numpy()
+        members = _Members(*(group.column(c).to_pylist() for c in ("n", "comp", "low", "high")), percent, limit)
+        held = group.column("groups").combine_chunks()
+        place = np.repeat(np.arange(len(node)), held.value_lengths().to_numpy())
+        names, block, odd = (held.flatten().field(c).to_numpy(zero_copy_only=False) for c in range(3))
         order = np.argsort(names, kind="stable")
         ends = np.flatnonzero(np.append(names[order][1:] != names[order][:-1], True)) + 1
         found = [np.zeros((0, 2), dtype=np.int64)]
@@ -617,6 +617,9 @@ class JaccardJoin:
             "part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
             "grp", "block", "odd", "node",
         )
+        # A set can be in very many groups and tiles. Its sketches and component join once for all.
+        rows = rows.groupBy("node", "part", "i", "j").agg(F.collect_list(F.struct("grp", "block", "odd")).alias("groups"))
+        rows = rows.groupBy("node").agg(F.collect_list(F.struct("part", "i", "j", "groups")).alias("tiles"))
         self.tiles = self.steps.freeze(rows.join(placed.drop("did", "comp"), "node"), "tiles")
 
     def stood_for(self, rows: DataFrame, behind: DataFrame) -> DataFrame:
@@ -638,11 +641,8 @@ class JaccardJoin:
 
         With a `limit`, so many of the nearest for each node. Pairs `a = b` name the nodes of all.
         """
-        comps = self.nodes.select("node").join(found, "node", "left")
-        rows = self.tiles.join(comps.select("node", F.coalesce("component", "node").alias("comp")), "node")
-        tile = ["grp", "i", "j"]
-        mixed = rows.groupBy(*tile).agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
-        rows = rows.join(mixed.select(*tile), tile, "left_semi")
+        rows = self.tiles.join(found, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+        rows = rows.select("node", "n", "low", "high", "comp", F.inline("tiles"))
         met = rows.groupBy("part", "i", "j")
         return met.applyInArrow(_mixed_pairs(self.percent, limit), "a bigint, b bigint").distinct()
 

@@ -143,6 +143,36 @@ def test_large_group_of_near_copies(spark):
     assert run(spark, rows, parts=7) == sorted(brute(rows), key=key)
 
 
+@pytest.mark.parametrize("tile", [2048, 20])
+def test_sets_of_many_groups_join_once(spark, monkeypatch, tile):
+    """Texts around one passage are in many groups and tiles; sketches and components join once per text."""
+    written, freeze = {}, jaccard.Steps.freeze
+
+    def freeze_and_note(self, df, name):
+        written[name] = freeze(self, df, name)
+        return written[name]
+
+    monkeypatch.setattr(jaccard.Steps, "freeze", freeze_and_note)
+    monkeypatch.setattr(jaccard.Steps, "__exit__", lambda *_: None)
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(jaccard, "ROWS_PER_TASK", 100)
+    rng = random.Random(8)
+    passage = [f"p{k}" for k in range(40)]
+    rows = []
+    for k in range(120):
+        own = [f"v{k}-{i}" for i in range(rng.randrange(6, 12))]
+        at = rng.randrange(len(own))
+        text = own[:at] + passage + own[at:]
+        rows.append((len(rows), " ".join(text)))
+        if k % 10 == 0:
+            rows.append((len(rows), " ".join([*text[:-1], "end"])))
+    assert run(spark, rows, parts=5) == sorted(brute(rows), key=key)
+    tiles = written["tiles"]
+    n = tiles.count()
+    assert n == tiles.select("node").distinct().count()
+    assert tiles.selectExpr("inline(tiles)").selectExpr("inline(groups)").count() > n
+
+
 @pytest.mark.parametrize("part", [500_000, 20])
 def test_components(spark, monkeypatch, part):
     monkeypatch.setattr("nearfold.llm.graph.PART_LINKS", part)
