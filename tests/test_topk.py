@@ -236,3 +236,19 @@ def test_frequent_terms_are_numbered_without_a_shuffle(spark, monkeypatch):
             (i, *number[t], tf) for i, t, tf in rows
         )
         assert "_hot" not in plan_of(found) and "Union" in plan_of(found)
+
+
+def test_offers_are_ranked_by_as_many_tasks_as_they_need(spark, monkeypatch):
+    written, freeze = {}, topk.Steps.freeze
+
+    def freeze_and_note(self, df, name):
+        written[name] = freeze(self, df, name)
+        return written[name]
+
+    monkeypatch.setattr(topk.Steps, "freeze", freeze_and_note)
+    monkeypatch.setattr(topk.Steps, "__exit__", lambda *_: None)
+    monkeypatch.setattr(topk, "MAX_OFFERS", 20, raising=False)
+    texts = corpus(5, 200)
+    got, want = run(spark, texts, 4, block_rows=5), brute(texts, 4)
+    assert {i: [j for j, _ in x] for i, x in got.items()} == {i: [j for j, _ in x] for i, x in want.items()}
+    assert len(written["ranked"].inputFiles()) > int(spark.conf.get("spark.sql.shuffle.partitions"))
