@@ -9,7 +9,8 @@ its `NEIGHBOURS` nearest by cosine vote with a weight that grows with their simi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +31,8 @@ _KINDS = 12
 _SHAPES = 20
 _WIDTH = _KINDS**3 + _SHAPES
 _BLOCK = 1024
+#: Texts that a task measures and scores at once: their features and their cosines with the whole sample stand in memory.
+_TEXTS = 256
 
 
 def _kinds() -> np.ndarray:
@@ -98,21 +101,32 @@ class Model:
         return np.clip(out, 0.0, 1.0)
 
 
+def scores_of(model: Model, raws: list[bytes]) -> np.ndarray:
+    return np.concatenate([model.score(features(raws[a : a + _TEXTS])) for a in range(0, len(raws), _TEXTS)])
+
+
 def fit_rows(rows: np.ndarray, labels: np.ndarray) -> Model:
-    if not len(rows):
+    return _fit_blocks(lambda: (rows[a : a + _BLOCK] for a in range(0, len(rows), _BLOCK)), labels)
+
+
+def _fit_blocks(blocks: Callable[[], Iterator[np.ndarray]], labels: np.ndarray) -> Model:
+    """A model of the rows that each call of `blocks` gives, a block at a time; there is no matrix of all."""
+    if not len(labels):
         none = np.zeros((0, 1), dtype=np.float32)
         return Model(np.ones(_WIDTH, np.float32), np.zeros((_WIDTH, 1), np.float32), none, labels, np.zeros(0))
-    held = (rows > 0).sum(axis=0)
-    rarity = (1.0 + np.log((1 + len(rows)) / (1 + held))).astype(np.float32)
+    held = sum((block > 0).sum(axis=0) for block in blocks())
+    rarity = (1.0 + np.log((1 + len(labels)) / (1 + held))).astype(np.float32)
     # The Gram matrix is as wide as the features, however many texts there are.
-    gram = np.zeros((rows.shape[1], rows.shape[1]))
-    for a in range(0, len(rows), _BLOCK):
-        weighted = rows[a : a + _BLOCK] * rarity
+    gram = np.zeros((len(held), len(held)))
+    for block in blocks():
+        weighted = block * rarity
         gram += weighted.T @ weighted
+        del weighted
     _, vectors = np.linalg.eigh(gram)
-    basis = vectors[:, ::-1][:, : min(DIMENSIONS, len(rows))].astype(np.float32)
+    basis = vectors[:, ::-1][:, : min(DIMENSIONS, len(labels))].astype(np.float32)
+    del gram, vectors
     model = Model(rarity, basis, np.zeros((0, 1)), labels, np.zeros(0))
-    model.vectors = np.concatenate([model.embed(rows[a : a + _BLOCK]) for a in range(0, len(rows), _BLOCK)])
+    model.vectors = np.concatenate([model.embed(block) for block in blocks()])
     # Classes vote as if they were equally frequent in the sample.
     share = np.array([max((labels == c).mean(), 1e-9) for c in (0, 1)])
     model.weights = 0.5 / share[labels]
@@ -147,22 +161,30 @@ def fit(
     kind = docs.schema[id_col].dataType.simpleString()
     rows = rows.select("id", "text", "label").mapInArrow(measure, f"id {kind}, label int, row binary")
     # Ids may repeat in `docs`: of the rows with one id eight are learned from.
-    # As an Arrow table, put into the matrix piece by piece: as rows they would stand in memory three times.
-    found = some_of_each(rows, ["id", "label"], "row").orderBy("id", "label", "row").select("label", "row").toArrow()
-    known = found.column("label").to_numpy().astype(np.int64)
-    matrix, at = np.empty((len(known), _WIDTH), dtype=np.float32), 0
-    for part in found.to_batches(max_chunksize=_BLOCK):
-        held = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.float32).reshape(-1, _WIDTH)
-        matrix[at : at + len(held)] = held
-        at += len(held)
-    del found
-    return fit_rows(matrix, known)
+    found = some_of_each(rows, ["id", "label"], "row")
+    # What rows are ordered by, the driver samples: a hash and not the row, which is some thousand bytes.
+    found = found.orderBy("id", "label", F.xxhash64("row")).select("label", "row")
+    # Most counts of a row are 0: it goes to the driver packed, stays so, and is unpacked a block at a time.
+    found = found.mapInArrow(_pack, "label int, row binary").toArrow()
+
+    def blocks() -> Iterator[np.ndarray]:
+        for a in range(0, len(found), _BLOCK):
+            raws = [zlib.decompress(x) for x in found.column("row").slice(a, _BLOCK).to_pylist()]
+            yield np.frombuffer(b"".join(raws), dtype=np.float32).reshape(-1, _WIDTH)
+
+    return _fit_blocks(blocks, found.column("label").to_numpy().astype(np.int64))
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        packed = pa.array([zlib.compress(x.as_py(), 1) for x in batch.column(1)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), packed], ["label", "row"])
 
 
 def _score(model: Model, text: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raws in slices(batches, text):
-            scores = pa.array(model.score(features(raws)))
+            scores = pa.array(scores_of(model, raws))
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "score"])
 
     return score
@@ -189,6 +211,6 @@ def accepted_documents(
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, raws in slices([batch], batch.schema.names[column]):
-                yield part.filter(pa.array(model.score(features(raws)) >= accept))
+                yield part.filter(pa.array(scores_of(model, raws) >= accept))
 
     return docs.mapInArrow(keep, docs.schema)

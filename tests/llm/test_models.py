@@ -49,6 +49,30 @@ def test_quality_of_odd_rows(spark):
     assert quality.score_quality(docs.limit(0), model).count() == 0
 
 
+def test_labelled_rows_reach_the_driver_packed(spark, monkeypatch):
+    # As they are, with their matrix and in the JVM, they took hundreds of MB of the driver's memory.
+    texts = [(k, f"plain words of text {k} and " * (k % 7 + 1) if k % 2 else f"| {k} | {k * 7} |\n" * (k % 5 + 1)) for k in range(1500)]
+    texts.append((3, "another text of three"))
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1500)], "doc_id bigint, quality int")
+    rows = sorted((k, k % 2, row.tobytes()) for (k, _), row in zip(texts, quality.features([t.encode() for _, t in texts])))
+    matrix = np.frombuffer(b"".join(r for *_, r in rows), dtype=np.float32).reshape(len(rows), -1)
+    sizes, to_arrow = [], type(docs).toArrow
+
+    def sized(df):
+        found = to_arrow(df)
+        sizes.append(found.nbytes)
+        return found
+
+    monkeypatch.setattr(type(docs), "toArrow", sized)
+    model = quality.fit(docs, labels)
+    assert len(sizes) == 1 and 0 < sizes[0] < matrix.nbytes / 5
+    expected = quality.fit_rows(matrix, np.array([label for _, label, _ in rows]))
+    assert model.labels.tolist() == expected.labels.tolist() and np.array_equal(model.rarity, expected.rarity)
+    assert model.vectors.shape == (1501, quality.DIMENSIONS)
+    assert np.allclose(model.score(matrix), expected.score(matrix), atol=1e-4)
+
+
 def test_votes_are_those_of_all_cosines():
     rng = np.random.default_rng(1)
     rows = rng.random((300, quality._KINDS**3 + quality._SHAPES)).astype(np.float32) * (rng.random(300) < 0.9)[:, None]
