@@ -43,7 +43,7 @@ def number_rows(df: DataFrame, column: str = "row") -> DataFrame:
     `freeze`. Its texts go out in small row groups and pages, so that a task holds few of them.
     """
     path, number = free_name(df, f"{column}_file"), free_name(df, f"{column}_file_number")
-    files = _file_numbers(df, path, number) if _is_scan(df) else None
+    files = _file_numbers(df, path, number) if is_scan(df) else None
     if files is None:
         return freeze(df.withColumn(column, F.monotonically_increasing_id()), "numbered", **_SMALL)
     numbered = df.withColumns({path: F.col("_metadata.file_path"), column: F.col("_metadata.row_index")})
@@ -51,7 +51,7 @@ def number_rows(df: DataFrame, column: str = "row") -> DataFrame:
     return numbered.withColumn(column, F.shiftleft(number, 40) + F.col(column)).drop(path, number)
 
 
-def _is_scan(df: DataFrame) -> bool:
+def is_scan(df: DataFrame) -> bool:
     """Whether the rows are those of files, perhaps filtered and with some columns computed from others."""
     if any(c.lower() == "_metadata" for c in df.columns):
         return False
