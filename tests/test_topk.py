@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from conftest import plan_of
-from nearfold.operators import products, topk
+from nearfold.operators import heads, products, topk
 from nearfold.operators.shapes import as_arrays, as_long, as_wide, wide_to_arrays
 from nearfold.operators.topk import cosine_topk, neighbour_lists
 from nearfold.session import shared_dir
@@ -252,3 +252,33 @@ def test_offers_are_ranked_by_as_many_tasks_as_they_need(spark, monkeypatch):
     got, want = run(spark, texts, 4, block_rows=5), brute(texts, 4)
     assert {i: [j for j, _ in x] for i, x in got.items()} == {i: [j for j, _ in x] for i, x in want.items()}
     assert len(written["ranked"].inputFiles()) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("dear, next_rows, seed", [(1, 4, 21), (2, 9, 22), (1000, 4, 23)])
+def test_targets_meet_the_rows_of_their_rarest_terms(spark, monkeypatch, dear, next_rows, seed):
+    """Rare and frequent terms, slices and targets that meet all rows, all in small parts; no tile is made."""
+    monkeypatch.setattr(topk, "HEAD_BLOCKS", 2)
+    monkeypatch.setattr(topk, "_score_tiles", None)
+    sizes = {"RARE": 10, "RARE_ROWS": 4, "FEW_ROWS": 1, "COMMON": 5, "BUCKET_ROWS": 20, "TARGET_ROWS": 9, "MAX_COPIES": 1 << 40, "UNBOUND": 1}
+    for name, value in (sizes | {"DEAR": dear, "NEXT_ROWS": next_rows}).items():
+        monkeypatch.setattr(heads, name, value)
+    monkeypatch.setattr(products, "PACK_ROWS", 6)
+    monkeypatch.setattr(products, "OTHER_ROWS", 7)
+    rng = np.random.default_rng(seed)
+    texts = {i: f"{t} all d{rng.integers(30)} d{rng.integers(30)} e{rng.integers(8)}" for i, t in corpus(seed, 130).items()}
+    assert run(spark, texts, 4, block_rows=9) == brute(texts, 4)
+
+
+def test_rows_whose_rare_terms_nobody_shares_need_no_tiles(spark, monkeypatch):
+    """One weak target in a block made all its targets meet all blocks."""
+    monkeypatch.setattr(heads, "RARE", 60)
+    monkeypatch.setattr(heads, "FEW_ROWS", 1)
+    monkeypatch.setattr(heads, "NEXT_ROWS", 40)
+    monkeypatch.setattr(topk, "HEAD_BLOCKS", 8)
+    tiles = []
+    monkeypatch.setattr(topk, "_score_tiles", lambda *a: tiles.append(a))
+    texts = {
+        i: f"movie brand a{i % 6} b{i % 5} c{i % 7} " + (f"own{i} own{i}" if i % 20 == 0 else f"nm{i // 15} nm{i // 15} nm{i // 15}")
+        for i in range(900)
+    }
+    assert run(spark, texts, 4, block_rows=45) == brute(texts, 4) and not tiles
