@@ -8,8 +8,9 @@ that change are written again.
 
 The stored vectors are scanned where they lie, without a shuffle, and meet the new entries in blocks of
 bounded size that all tasks hold. So a batch costs its entries times the stored vectors that can score
-high enough, and where the batch is more than `ROWS_PER_SCAN` entries, another scan. For batches that
-are a large part of the whole, building anew is cheaper.
+high enough, and where the batch is more than `ROWS_PER_SCAN` entries, another scan. A batch of many scans
+is first tried by heads: targets then meet only the rows that have one of their rarest terms, see `heads.py`.
+For batches that are a large part of the whole, building anew is cheaper.
 
 An entry is never changed. Ids that join a digest later are an entry of their own with its own least
 id, which is what orders entries of equal score; the best entries by (score, least id) hold the best
@@ -27,15 +28,18 @@ from pyspark.sql import types as T
 from nearfold.fixed import NEIGHBOURS
 from nearfold.functions.text import sorted_tokens
 from nearfold.operators.dictionary import more_terms, sparse_postings, term_dictionary
-from nearfold.operators.joins import anti_keys
+from nearfold.operators.heads import COMMON, frequent_terms, offers_by_heads, raised, with_heads
+from nearfold.operators.joins import anti_keys, hot_keys, spread_lookup
 from nearfold.operators.products import new_entries, scan_scorer
-from nearfold.operators.topk import collapse, group_lists, lists_of_rows, require_unique, text_digest
+from nearfold.operators.topk import MAX_OFFERS, MAX_SLOTS, collapse, group_lists, lists_of_rows, require_unique, text_digest
 from nearfold.session import Steps, freeze
 from nearfold.sources.buckets import BUCKETS, BucketTable
 
 # What all tasks hold of a batch at a time.
 ROWS_PER_SCAN = 4096
 POSTINGS_PER_SCAN = 1_000_000
+# Batches of more scans are tried by heads.
+MANY_SCANS = 4
 
 
 class NeighbourState:
@@ -134,7 +138,7 @@ class NeighbourState:
         """`digest, members` of the lists that are new or change."""
         if not batch:
             return steps.freeze(group_lists(groups, self.keep, None, steps), "lists")
-        offers = steps.freeze(self._offers(entries, batch), "offers")
+        offers = steps.freeze(self._offers(entries, batch, steps), "offers")
         best = Window.partitionBy("digest").orderBy(F.desc("score"), "other")
         ranked = offers.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= self.keep)
         ids = F.flatten(
@@ -153,7 +157,7 @@ class NeighbourState:
         changed = both.withColumn("after", after).filter(F.col("members").isNull() | (F.col("after") != F.col("members")))
         return steps.freeze(changed.select("digest", F.col("after").alias("members")), "lists")
 
-    def _offers(self, entries: DataFrame, batch: int) -> DataFrame:
+    def _offers(self, entries: DataFrame, batch: int, steps: Steps) -> DataFrame:
         """`digest, score, other, members`: what new entries and targets bring, see `scan_scorer`."""
         mine = entries.select("*", F.lit(0.0).alias("floor"), F.col("fresh").alias("leads"), F.lit(False).alias("stored"))
         columns = ["digest", "gid", "members", "terms", "tfs", "n2", "leads", "floor"]
@@ -165,6 +169,8 @@ class NeighbourState:
              self.vectors.schema["members"]]
         )
         scans = max(1, math.ceil(n / ROWS_PER_SCAN), math.ceil(postings / POSTINGS_PER_SCAN))
+        if n and scans > MANY_SCANS and (offers := self._offers_by_heads(rows, steps)) is not None:
+            return offers
         share = F.pmod(F.xxhash64("digest"), F.lit(scans))
         offers = self.spark.createDataFrame([], schema)
         for scan in range(scans if n else 0):
@@ -172,3 +178,40 @@ class NeighbourState:
             shared = self.spark.sparkContext.broadcast(new_entries(entries.filter(share == scan).toArrow()))
             offers = offers.unionByName(rows.mapInArrow(scan_scorer(shared, self.keep), schema))
         return offers
+
+    def _offers_by_heads(self, rows: DataFrame, steps: Steps) -> DataFrame | None:
+        """The same by the rarest terms of the targets; None if scans are the better way."""
+        vectors = rows.select(
+            "gid", F.lit(-1).cast("bigint").alias("block"), "floor", F.size("members").alias("n_members"), "terms", "tfs", "n2",
+            F.col("leads").alias("target"), F.lit(True).alias("found"), "stored",
+        )
+        old, new = (vectors.filter(F.col("stored") == s).drop("stored") for s in (True, False))
+        # Added targets against all rows. Their floors come from each other, in two orders.
+        frequent, postings = frequent_terms(vectors)
+        near = raised(new, frequent, self.keep, frequent.n)
+        targets = steps.freeze(with_heads(raised(near, frequent, self.keep, COMMON), frequent), "headed-new")
+        others = old.withColumns({"target": F.lit(False), "n_head": F.lit(0)})
+        added = offers_by_heads(targets.unionByName(others), frequent, postings, self.keep, self.id_type)
+        if added is None:
+            return None
+        # Stored targets against added rows.
+        frequent, postings = frequent_terms(new)
+        leading = old.filter("target").withColumn("found", F.lit(False))
+        targets = steps.freeze(with_heads(leading, frequent), "headed-old")
+        others = new.withColumns({"target": F.lit(False), "n_head": F.lit(0)})
+        changed = offers_by_heads(targets.unionByName(others), frequent, postings, self.keep, self.id_type)
+        if changed is None:
+            return None
+        (added, n_added), (changed, n_changed) = added, changed
+        best = Window.partitionBy("gid").orderBy(F.desc("score"), "other")
+        n_tasks = min(-(-(n_added + n_changed) // MAX_OFFERS), MAX_SLOTS)
+        found = added.unionByName(changed)
+        if n_tasks > int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            found = found.repartition(n_tasks, "gid")
+        ranked = found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= self.keep)
+        ranked = steps.freeze(ranked.drop("place"), "found")
+        ranked = ranked.join(rows.select("gid", "digest"), "gid")
+        members = rows.select(F.col("gid").alias("other"), "members")
+        members = members.join(F.broadcast(hot_keys(ranked, "other")), "other", "left")
+        found = spread_lookup(ranked, members, "other", F.col("hot").isNotNull(), spread_by="gid")
+        return found.select("digest", "score", "other", "members")

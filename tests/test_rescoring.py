@@ -1,11 +1,12 @@
 """Lists kept under insertions against brute force over all rows."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from test_topk import brute, corpus
 
-from nearfold.operators import rescoring
+from nearfold.operators import heads, rescoring
 from nearfold.operators.rescoring import NeighbourState
 from nearfold.plans import recommend
 
@@ -107,3 +108,20 @@ def test_content_table(spark, tmp_path):
     recommend.rescore(state, content)
     want = recommend.score_table(content).orderBy("tconst").collect()
     assert recommend.state_table(state).orderBy("tconst").collect() == want
+
+
+@pytest.mark.parametrize("dear", [1, 2, 1000])
+def test_large_batches_meet_by_the_rarest_terms(spark, tmp_path, monkeypatch, dear):
+    """Stored and added targets, copies that arrive later, short lists; no scan is made."""
+    monkeypatch.setattr(rescoring, "MANY_SCANS", 0)
+    monkeypatch.setattr(rescoring, "scan_scorer", None)
+    sizes = {"RARE": 10, "RARE_ROWS": 4, "FEW_ROWS": 1, "COMMON": 5, "BUCKET_ROWS": 20, "TARGET_ROWS": 9, "NEXT_ROWS": 6}
+    for name, value in (sizes | {"MAX_COPIES": 1 << 40, "UNBOUND": 1, "DEAR": dear}).items():
+        monkeypatch.setattr(heads, name, value)
+    rng = np.random.default_rng(dear)
+    texts = {i: f"{t} all d{rng.integers(30)} d{rng.integers(30)} e{rng.integers(8)}" for i, t in corpus(dear, 130).items()}
+    texts |= {200 + i: texts[i] for i in range(0, 130, 9)} | {300: "", 301: None, 302: "alone"}
+    order = sorted(texts, key=lambda i: (i * 37) % 91)
+    batches = [{i: texts[i] for i in order[a:z]} for a, z in ((0, 70), (70, 110), (110, 200))]
+    texts = {i: t or "" for i, t in texts.items()}
+    assert lists(added(spark, tmp_path, batches, 4)) == brute(texts, 4)
