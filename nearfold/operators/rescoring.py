@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from nearfold.fixed import NEIGHBOURS
 from nearfold.functions.text import sorted_tokens
 from nearfold.operators.dictionary import more_terms, sparse_postings, term_dictionary
-from nearfold.operators.heads import COMMON, frequent_terms, offers_by_heads, raised, with_heads
+from nearfold.operators.heads import COMMON, frequent_terms, offers_by_heads, raised, too_long, with_heads
 from nearfold.operators.joins import anti_keys, hot_keys, spread_lookup
 from nearfold.operators.products import new_entries, scan_scorer
 from nearfold.operators.topk import MAX_OFFERS, MAX_SLOTS, collapse, group_lists, lists_of_rows, require_unique, text_digest
@@ -188,6 +188,8 @@ class NeighbourState:
         old, new = (vectors.filter(F.col("stored") == s).drop("stored") for s in (True, False))
         # Added targets against all rows. Their floors come from each other, in two orders.
         frequent, postings = frequent_terms(vectors)
+        if too_long(frequent, postings):
+            return None
         near = raised(new, frequent, self.keep, frequent.n)
         targets = steps.freeze(with_heads(raised(near, frequent, self.keep, COMMON), frequent), "headed-new")
         others = old.withColumns({"target": F.lit(False), "n_head": F.lit(0)})
