@@ -288,6 +288,7 @@ def test_long_texts_meet_in_tiles(spark, monkeypatch):
     """Rows with many rare terms are not sent once for each of them, nor looked at a second time."""
     monkeypatch.setattr(topk, "HEAD_BLOCKS", 2)
     monkeypatch.setattr(topk, "raised", None)
+    monkeypatch.setattr(heads, "RARE", 4)
     rng = np.random.default_rng(3)
     texts = {i: " ".join(f"w{n}" for n in rng.integers(0, 300, 40)) for i in range(80)}
     assert run(spark, texts, 4, block_rows=9) == brute(texts, 4)
